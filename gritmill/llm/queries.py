@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontam, line_dedup, mixing
+from . import decontam, license_scan, line_dedup, mixing, quality, secret_scan, toxicity
 
 
 def queries():
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_quality_rules": quality.op3_quality_rules,
         "op4_benchmark_decontamination": decontam.op4_benchmark_decontamination,
+        "op5_secret_scan": secret_scan.op5_secret_scan,
+        "op9_license_scan": license_scan.op9_license_scan,
         "op10_mixing": mixing.op10_mixing,
     }
 
@@ -16,6 +20,8 @@ def queries():
 def oracle_sql():
     return {
         "op1_line_dedup": line_dedup.OP1_SQL,
+        "op3_quality_rules": quality.op3_sql(),
         "op4_benchmark_decontamination": decontam.OP4_SQL,
+        "op9_license_scan": license_scan.op9_sql(),
         "op10_mixing": mixing.OP10_SQL,
     }
