@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, license_scan, line_dedup, mixing, quality, secret_scan, toxicity
+from . import decontam, html_extract, license_scan, line_dedup, mixing, quality, secret_scan, suffix_dedup, toxicity
 
 
 def queries():
@@ -12,6 +12,8 @@ def queries():
         "op3_quality_rules": quality.op3_quality_rules,
         "op4_benchmark_decontamination": decontam.op4_benchmark_decontamination,
         "op5_secret_scan": secret_scan.op5_secret_scan,
+        "op7_html_extraction": html_extract.op7_html_extraction,
+        "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_mixing": mixing.op10_mixing,
     }
