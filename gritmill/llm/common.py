@@ -43,13 +43,6 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
     return [doc_id.alias("doc_id"), F.xxhash64(text).alias("rk1"), F.xxhash64(F.lit(1), text).alias("rk2")]
 
 
-def same_key(a: DataFrame, b: DataFrame, *names: str) -> Column:
-    on = F.lit(True)
-    for n in names:
-        on = on & a[n].eqNullSafe(b[n])
-    return on
-
-
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a folder in the warehouse where that is unset."""
     given = spark.conf.get("spark.checkpoint.dir", None)

@@ -12,8 +12,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import WORD_GAP, ascii_lower, pick, read, table
+from .common import WORD_GAP, ascii_lower, pick, position, read, table
 
 #: All ASCII but digits and letters separates words; bytes of other characters are word bytes.
 TO_WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in bytes(range(256)).lower())
@@ -33,8 +34,8 @@ def windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id", text_
     return items.select("item_id", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, size), " "))).alias("window")).distinct()
 
 
-def _search(patterns: list[tuple[str, list[str]]], keep_text: bool):
-    """A function for mapInArrow over (.., text) that adds words, hits and items."""
+def _search(patterns: list[tuple[str, list[str]]]):
+    """A function for mapInArrow over rows whose last column is the text: words, hits and items take its place."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
@@ -75,8 +76,7 @@ def _search(patterns: list[tuple[str, list[str]]], keep_text: bool):
                 out[4].append(places)
             extra = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.string())), pa.array(out[3], WORDS), pa.array(out[4], SPANS)]
             names = ["n_words", "n_hit", "items", "hit_words", "spans"]
-            kept = batch.num_columns - (not keep_text)  # the text is the last column
-            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *extra], [*batch.schema.names[:kept], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *extra], [*batch.schema.names[:-1], *names])
 
     return scan
 
@@ -86,47 +86,49 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 ADDED = "n_words long, n_hit long, items array<string>, hit_words array<struct<first:long,last:long>>, spans array<struct<start:long,end:long>>"
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10, max_windows: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """(doc_id, [text,] n_words, n_hit, items, hit_words, spans): what each row shares with the benchmark.
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10, max_windows: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_hit, items, hit_words, spans): what each row shares with the benchmark.
 
     spans are code point offsets in the original text. Null and empty texts
     have no words. Equal rows get equal results, an empty benchmark hits
-    nothing, an empty table gives no rows. The automaton goes to every worker,
-    so its windows are counted first: more than max_windows are refused here;
-    see find_benchmark_in_blocks().
+    nothing, an empty table gives no rows. With whole_rows all columns of docs
+    come first, as c0, c1, ..., in place of doc_id. The automaton goes to every
+    worker, so windows are counted first; beyond max_windows the texts are
+    searched for blocks of them, one after another.
     """
     found = table(windows(benchmark, size), "benchmark-windows")
-    if found.count() > max_windows:
-        return find_benchmark_in_blocks(docs, found, max_windows, id_col, text_col, keep_text)
-    return _find(docs, found, id_col, text_col, keep_text)
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*columns)
+    text = F.col(f"c{position(docs, text_col)}").alias("text")
+    rows = plain.select(*columns, text) if whole_rows else plain.select(F.col(f"c{position(docs, id_col)}").alias("doc_id"), text)
+    n_blocks = -(-found.count() // max_windows)
+    return _find(rows, found) if n_blocks <= 1 else _find_in_blocks(rows, found, n_blocks)
 
 
-def _find(docs, found, id_col, text_col, keep_text):
+def _find(rows: DataFrame, found: DataFrame) -> DataFrame:
     patterns = [(r.window, r.ids) for r in found.groupBy("window").agg(F.array_compact(F.collect_set("item_id")).alias("ids")).collect()]
-    docs = pick(docs, doc_id=id_col, text=text_col)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(_search(patterns, keep_text), f"doc_id {kind}, {'text string, ' if keep_text else ''}{ADDED}")
+    added = StructType(rows.schema.fields[:-1] + StructType.fromDDL(ADDED).fields)
+    return rows.mapInArrow(_search(patterns), added)
 
 
-def find_benchmark_in_blocks(docs, found, max_windows, id_col="doc_id", text_col="text", keep_text=False):
-    """For a benchmark beyond the size that one automaton may have: the text is scanned once per block
-    of windows, and the word ranges of all blocks are merged for each row key."""
-    n_blocks = -(-found.count() // max_windows)
-    docs = pick(docs, doc_id=id_col, text=text_col)
-    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")).alias("doc_id"), "text")
+def _find_in_blocks(rows: DataFrame, found: DataFrame, n_blocks: int) -> DataFrame:
+    """One scan a block of windows; what the blocks find is merged by the text's hash."""
+    key = [F.xxhash64("text").alias("rk1"), F.xxhash64(F.lit(1), "text").alias("rk2")]
     hits = None
     for k in range(n_blocks):
-        part = _find(keyed, found.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == k), "doc_id", "text", False).where("n_hit > 0")
+        part = _find(rows.select(*key, "text"), found.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == k)).where("n_hit > 0")
         hits = part if hits is None else hits.unionByName(part)
-    word = F.explode(F.array_distinct(F.flatten(F.transform("hit_words", lambda s: F.sequence(s["first"], s["last"])))))
-    n_hit = hits.select("doc_id", word.alias("w")).groupBy("doc_id").agg(F.count_distinct("w").alias("n_hit"), F.collect_set("w").alias("at"))
-    named = hits.select("doc_id", F.explode_outer("items").alias("i")).groupBy("doc_id").agg(F.array_sort(F.collect_set("i")).alias("items"))
-    total = _find(keyed, found.limit(0), "doc_id", "text", True).select("doc_id", "text", "n_words")
-    all_of = total.join(n_hit.join(named, "doc_id"), "doc_id", "left")
-    none = F.array().cast("array<struct<first:long,last:long>>")
-    words = F.coalesce(F.transform(F.array_sort("at"), lambda w: F.struct(w.alias("first"), w.alias("last"))), none)
-    spans = F.array().cast("array<struct<start:long,end:long>>")
-    return all_of.select(F.col("doc_id.doc_id").alias("doc_id"), *(["text"] if keep_text else []), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), words.alias("hit_words"), spans.alias("spans"))
+    at = lambda c, a, b: F.explode(F.flatten(F.transform(c, lambda s: F.sequence(s[a], s[b]))))
+    words = hits.select("rk1", "rk2", at("hit_words", "first", "last").alias("w")).groupBy("rk1", "rk2").agg(F.array_sort(F.collect_set("w")).alias("w"))
+    spans = hits.select("rk1", "rk2", F.explode("spans").alias("s")).groupBy("rk1", "rk2").agg(F.array_sort(F.collect_set("s")).alias("s"))
+    items = hits.select("rk1", "rk2", F.explode_outer("items").alias("i")).groupBy("rk1", "rk2").agg(F.array_sort(F.collect_set("i")).alias("i"))
+    merged = words.join(spans, ["rk1", "rk2"]).join(items, ["rk1", "rk2"])
+    names = rows.columns[:-1]
+    out = _find(rows.select(*names, *key, "text"), found.limit(0)).select(*names, "rk1", "rk2", "n_words").join(merged, ["rk1", "rk2"], "left")
+    kinds = {f.name: f.dataType for f in StructType.fromDDL(ADDED).fields}
+    empty = lambda c: F.array().cast(kinds[c])
+    one = F.transform("w", lambda w: F.struct(w.alias("first"), w.alias("last")))
+    return out.select(*names, "n_words", F.when(F.col("w").isNull(), 0).otherwise(F.size("w")).cast("long").alias("n_hit"), F.coalesce("i", empty("items")).alias("items"), F.coalesce(one, empty("hit_words")).alias("hit_words"), F.coalesce("s", empty("spans")).alias("spans"))
 
 
 def op4_benchmark_decontamination(spark, sf_dir):

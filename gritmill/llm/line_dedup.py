@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, ascii_lower, pick, read, row_key, same_key, table
+from .common import WS_CHARS, ascii_lower, position, read, row_key, table
 
 KEY = ["h1", "h2"]
 
@@ -80,25 +80,30 @@ def build_runs(docs: DataFrame, min_docs: int, n_batches: int = 4, fanout: int =
     return runs
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4, fanout: int = 4, broadcast_rows: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4, fanout: int = 4, broadcast_rows: int = 100_000, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped): every row, without the lines found in min_docs documents.
 
     A line's key is the line without white space at its ends and with A-Z in
     lower case; empty keys are never dropped. Each row counts as a document of
     its own, also when ids or whole rows repeat. A null text is one empty line;
     a text that loses all its lines becomes "". An empty table gives no rows.
+    With carry the columns of docs follow, as c0, c1, ....
     The set of frequent keys is broadcast only when it has been counted and has
     at most broadcast_rows rows; beyond that a shuffled semi join is used.
     """
-    docs = pick(docs, doc_id=id_col, text=text_col)
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*columns).withColumns({"doc_id": F.col(f"c{position(docs, id_col)}"), "text": F.col(f"c{position(docs, text_col)}")})
+    carried = columns if carry else []
+    docs = plain.select("doc_id", "text")
     frequent = table(build_runs(docs, min_docs, n_batches, fanout).frequent(), "line-frequent")
     small = frequent.count() <= broadcast_rows
     keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key"))
     keyed = keyed.where(F.col("key") != "").select("doc_id", "rk1", "rk2", "pos", *_hashes(F.col("key")))
     hits = keyed.join(F.broadcast(frequent) if small else frequent, KEY, "left_semi")
     drops = hits.groupBy("doc_id", "rk1", "rk2").agg(F.collect_set("pos").alias("drops"))
-    whole = docs.select(*row_key(F.col("doc_id"), F.col("text")), "text")
-    joined = whole.join(drops, same_key(whole, drops, "doc_id", "rk1", "rk2"), "left").select(whole.doc_id, "text", "drops")
+    drops = drops.toDF("doc_id2", "rk12", "rk22", "drops")
+    whole = plain.select(*row_key(F.col("doc_id"), F.col("text")), "text", *carried)
+    joined = whole.join(drops, F.col("doc_id").eqNullSafe(F.col("doc_id2")) & (F.col("rk1") == F.col("rk12")) & (F.col("rk2") == F.col("rk22")), "left")
     lines = lines_of(F.col("text"))
     rows = joined.withColumn("n_lines", F.size(lines).cast("long")).withColumn("lines", F.when(F.col("drops").isNotNull(), lines))
     # array_except keeps order and hashes its second argument: linear in the lines
@@ -109,6 +114,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4, fanout:
         F.when(F.col("drops").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept).alias("text"),
         "n_lines",
         F.when(F.col("drops").isNull(), F.lit(0)).otherwise(F.size("drops")).cast("long").alias("n_dropped"),
+        *carried,
     )
 
 
