@@ -49,9 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     return (given or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
 
 
-def table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """df, written to the shared folder and read again: cuts lineage, outlives executors."""
+def table(df: DataFrame, name: str, partition_by: str | None = None, rows: int | None = None, rows_per_file: int = 100_000) -> DataFrame:
+    """df, written to the shared folder and read again: cuts lineage, outlives executors.
+
+    rows, where it is known that df has no more of them, keeps small tables from being written as many files.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // rows_per_file)))
     path = f"{shared_dir(spark)}/gritmill-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)

@@ -7,9 +7,11 @@ registers name the documents that may be alike; a collision-corrected estimate
 from the registers drops hopeless pairs, and the full shingle sets decide.
 
 Documents with equal sets are one class from the start. Inside a band bucket
-each class is compared with one pivot first; only classes that are then still
-in different components are compared with each other, so a large group of
-copies costs as many comparisons as it has members.
+each class is compared with one pivot first. Only classes that are then still
+in different components are compared further, and only if the shingles that no
+other component has leave room for a link: copies with so many edits of their
+own that they are near nothing are ruled out one by one, not pair by pair. So a
+large group of copies costs about as many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -166,32 +168,69 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars; a star's edges are grouped by minimum and
     joined back, so a node with very many edges is split like any skewed key.
     """
-    now = table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    now = table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges", rows=edges.count())
     while not _stars(now):
+        n = now.count()
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = table(large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "large-star")
+        large = table(large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "large-star", rows=2 * n)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        now = table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star", rows=4 * n)
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
 def _stars(edges: DataFrame) -> bool:
     """Whether each node u has one neighbour v, which is no node u itself."""
     n, nodes = edges.agg(F.count("*"), F.count_distinct("u")).first()
-    return n == nodes and edges.join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
+    return n == 0 or n == nodes and edges.join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
+
+
+def _hash_sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingles(t.as_py(), size).view(np.int64) for t in batch.column(1)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["rep", "toks"])
+
+    return run
+
+
+def private_shingles(nodes: DataFrame, docs: DataFrame, size: int, broadcast_rows: int, small: int = 64) -> DataFrame:
+    """(rep, own): how many shingles of each of nodes(rep, comp) occur in no other component of nodes.
+
+    Such shingles can't be shared with a document of another component, which
+    bounds the similarity of all pairs that are still to be compared. Components
+    of more than `small` classes get no count for shingles that several of their
+    members share: the bound is then weaker, and still true.
+    """
+    kind = nodes.schema["rep"].dataType.simpleString()
+    ids = F.broadcast(nodes) if nodes.count() <= broadcast_rows else nodes
+    texts = docs.join(ids, docs.doc_id == ids.rep, "left_semi").dropDuplicates(["doc_id"])
+    sets = texts.select("doc_id", "text").mapInArrow(_hash_sets(size), f"rep {kind}, toks array<long>").join(ids, "rep")
+    toks = sets.select("rep", "comp", F.explode("toks").alias("tok"))
+    private = toks.groupBy("tok").agg(F.min("comp").alias("comp"), F.max("comp").alias("c2"), F.min("rep").alias("rep"), F.count("*").alias("m")).where("comp = c2")
+    private = table(private.select("tok", "rep", "m"), "private-shingles")
+    several = nodes.groupBy("comp").agg(F.count("*").alias("k")).where(F.col("k").between(2, small)).select("comp")
+    shared = toks.join(several, "comp", "left_semi").join(private.where("m > 1").select("tok"), "tok", "left_semi")
+    return private.where("m = 1").select("rep").unionByName(shared.select("rep")).groupBy("rep").agg(F.count("*").alias("own"))
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, broadcast_rows: int) -> DataFrame:
     """The pairs (a, b) of class ids whose full sets are alike."""
+    n = pairs.count()
+    if not n:
+        return pairs
     sig = lambda x: reps.select(F.col("rep").alias(x), F.col("regs").alias(f"regs_{x}"), F.col("n").alias(f"n_{x}"))
     pairs = pairs.join(sig("a"), "a").join(sig("b"), "b")
     pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "regs_a", "n_a", "regs_b", "n_b")
     kind = reps.schema["rep"].dataType.simpleString()
-    hopeful = table(pairs.mapInArrow(_hopeful(percent / 100), f"a {kind}, b {kind}"), "hopeful-pairs")
-    ends = table(hopeful.select(F.col("a").alias("doc_id")).unionByName(hopeful.select(F.col("b").alias("doc_id"))).distinct(), "pair-ends")
+    hopeful = table(pairs.mapInArrow(_hopeful(percent / 100), f"a {kind}, b {kind}"), "hopeful-pairs", rows=n, rows_per_file=20_000)
+    n = hopeful.count()
+    if not n:
+        return hopeful
+    ends = hopeful.select(F.col("a").alias("doc_id")).unionByName(hopeful.select(F.col("b").alias("doc_id"))).distinct()
+    ends = table(ends, "pair-ends", rows=2 * n)
     texts = docs.join(F.broadcast(ends) if ends.count() <= broadcast_rows else ends, "doc_id", "left_semi")
     texts = texts.dropDuplicates(["doc_id"])
     rows = hopeful.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -224,21 +263,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, broadcast
     members = table(bands.join(shared, "key").select("key", "rep", "n", "pivot"), "band-members")
     tested = table(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pivot-pairs")
     links = _verified(tested, reps, docs, size, percent, broadcast_rows)
-    comps = components(links)
-    for salt in (1, 2, 3, None):
+    comps, own = components(links), None
+    for salt in (1, 2, None):
         of = members.join(comps, members.rep == comps.node, "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-        turn = F.xxhash64(F.lit(salt or 0), "rep")
-        split = of.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min_by("rep", turn).alias("pivot"), F.min_by("comp", turn).alias("pivot_comp")).where("c1 <> c2")
+        split = of.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("n").alias("n_least")).where("c1 <> c2").select("key", "n_least")
         still = table(of.join(split, "key"), "split-buckets")
+        if own is None:  # components only grow, so what is private now stays so for pairs still apart
+            own = table(private_shingles(table(still.select("rep", "comp").distinct(), "split-nodes"), docs, size, broadcast_rows), "own-shingles")
+        # At most `most` shingles are shared with any other component; the partner has n_least or more.
+        still = still.join(own, "rep", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+        still = still.where(100 * F.col("most") >= percent * (F.col("n") + F.greatest(F.col("n_least"), F.col("most")) - F.col("most"))).select("key", "rep", "n", "comp", "most")
+        still = table(still, "open-members")
         if still.isEmpty():
             break
-        if salt:  # another pivot for what is still apart
-            pairs = still.where((F.col("rep") != F.col("pivot")) & (F.col("comp") != F.col("pivot_comp"))).select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b"))
-        else:  # and all pairs that are left
-            x, y = (still.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "comp"))) for s in "xy")
-            near = (F.col("rep_x") < F.col("rep_y")) & (F.col("comp_x") != F.col("comp_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-            pairs = x.join(y, "key").where(near).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
-        fresh = table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "further-pairs")
+        turn = F.xxhash64(F.lit(salt or 0), "rep")
+        partners = still.groupBy("key").agg(*(F.min_by(c, turn).alias(c) for c in ("rep", "n", "comp", "most"))) if salt else still
+        x, y = (df.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "comp", "most"))) for df, s in ((still, "x"), (partners, "y")))
+        both = F.least("most_x", "most_y")
+        near = (F.col("comp_x") != F.col("comp_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (100 * both >= percent * (F.col("n_x") + F.col("n_y") - both))
+        if not salt:  # after two more pivots of each bucket, all pairs that are left
+            near = near & (F.col("rep_x") < F.col("rep_y"))
+        pairs = x.join(y, (x.key == y.key) & near).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+        fresh = table(pairs.join(tested, ["a", "b"], "left_anti"), "further-pairs")
         tested = tested.unionByName(fresh)
         links = _verified(fresh, reps, docs, size, percent, broadcast_rows)
         if not links.isEmpty():
