@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vector import dot, linear, normalise, ranked, softmax
+from .lexicon import fence
 
 
 def vector_score(df: DataFrame, vec: str, weights: list[float], bias: float = 0.0, out: str = "aesthetic_score") -> DataFrame:
@@ -34,7 +35,7 @@ def class_logits(vec: Column, prompts: list[list[float]], scale: float) -> Colum
 
 def class_probs(df: DataFrame, vec: str, prompts: dict[str, list[float]], scale: float = 100.0) -> DataFrame:
     """df with labels and logits of its vector against one prompt vector a label."""
-    return df.withColumns({"labels": F.array(*map(F.lit, prompts)), "logits": class_logits(F.col(vec), list(prompts.values()), scale)})
+    return fence(df, {"labels": F.array(*map(F.lit, prompts)), "logits": class_logits(F.col(vec), list(prompts.values()), scale)})
 
 
 def top_two(labels: Column, logits: Column, digits: int | None = None) -> Column:
@@ -60,11 +61,11 @@ ROUND1, ROUND2 = ReviewRules(), ReviewRules((0.56, 0.10), (0.60, 0.12), (0.45, 0
 
 def review(df: DataFrame, category: str = "category", rules: ReviewRules = ROUND1, digits: int | None = None) -> DataFrame:
     """First round over labels and logits: keep, relabel or review; error where there are no logits."""
-    rows = df.withColumn("__t", top_two(F.col("labels"), F.col("logits"), digits))
+    rows = fence(df, {"__t": top_two(F.col("labels"), F.col("logits"), digits)})
     t, ok = F.col("__t"), F.coalesce(F.size("logits") > 0, F.lit(False)) & F.col(category).isNotNull()
     same, strong = t["top1_label"] == F.col(category), lambda r: (t["top1_score"] >= r[0]) & (t["margin"] >= r[1])
     action = F.when(~ok, "error").when(same & strong(rules.keep), "keep").when(~same & strong(rules.relabel), "relabel").otherwise("review")
-    rows = rows.withColumns({"review1_ok": ok, "review1_error": F.when(ok, "").otherwise("no scores"), **{f"review1_{c}": F.when(ok, t[c]) for c in ("top1_label", "top2_label", "top1_score", "top2_score", "margin")}, "review_action": action})
+    rows = fence(rows, {"review1_ok": ok, "review1_error": F.when(ok, "").otherwise("no scores"), **{f"review1_{c}": F.when(ok, t[c]) for c in ("top1_label", "top2_label", "top1_score", "top2_score", "margin")}, "review_action": action})
     final = F.when(F.col("review_action") == "keep", F.col(category)).when(F.col("review_action") == "relabel", F.col("review1_top1_label"))
     return rows.withColumn("review1_final_label", final).drop("__t")
 
@@ -80,12 +81,13 @@ def review_again(df: DataFrame, category: str = "category", rules: ReviewRules =
     open_rows = df.where(F.col("review_action").isin("review", "error"))
     rows = open_rows.withColumn("__c", candidates(F.col("labels"), F.col(category), F.col("review1_top1_label"), F.col("review1_top2_label")))
     place = F.transform("__c", lambda x: F.get(F.col("logits"), (F.array_position(F.col("labels"), x) - 1).cast("int")))
-    rows = rows.withColumn("__l", place).withColumn("__t", top_two(F.col("__c"), F.col("__l"), digits))
+    rows = rows.withColumn("__l", place)
+    rows = fence(rows, {"__c": F.col("__c"), "__t": top_two(F.col("__c"), F.col("__l"), digits)})
     t, ok = F.col("__t"), F.coalesce(F.size("logits") > 0, F.lit(False))
     same, strong = t["top1_label"] == F.col(category), lambda r: (t["top1_score"] >= r[0]) & (t["margin"] >= r[1])
     drop = (t["top1_score"] <= rules.drop[0]) & (t["margin"] <= rules.drop[1]) if rules.drop else F.lit(False)
     action = F.when(~ok, "error").when(same & strong(rules.keep), "keep_old").when(~same & strong(rules.relabel), "relabel_top1").when(drop, "drop").otherwise("still_review")
-    rows = rows.withColumns({"review2_ok": ok, "review2_error": F.when(ok, "").otherwise("no scores"), "review2_candidates": F.array_join("__c", "|"), **{f"review2_{c}": F.when(ok, t[c]) for c in ("top1_label", "top2_label", "top1_score", "top2_score", "margin")}, "review2_action": action})
+    rows = fence(rows, {"review2_ok": ok, "review2_error": F.when(ok, "").otherwise("no scores"), "review2_candidates": F.array_join("__c", "|"), **{f"review2_{c}": F.when(ok, t[c]) for c in ("top1_label", "top2_label", "top1_score", "top2_score", "margin")}, "review2_action": action})
     final = F.when(F.col("review2_action") == "keep_old", F.col(category)).when(F.col("review2_action") == "relabel_top1", F.col("review2_top1_label"))
     return rows.withColumn("review2_final_label", final).drop("__c", "__l", "__t")
 
