@@ -10,8 +10,11 @@ Documents with equal sets are one class from the start. Inside a band bucket
 each class is compared with one pivot first. Only classes that are then still
 in different components are compared further, and only if the shingles that no
 other component has leave room for a link: copies with so many edits of their
-own that they are near nothing are ruled out one by one, not pair by pair. So a
-large group of copies costs about as many comparisons as it has members.
+own that they are near nothing are ruled out one by one, not pair by pair. After
+two more pivots the members that are left are described by their differences
+from a common base; alike ones must share rare differences, which an exact
+prefix and position filter looks up. So a large group of copies costs about as
+many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import pick, read, table
@@ -216,6 +220,98 @@ def private_shingles(nodes: DataFrame, docs: DataFrame, size: int, broadcast_row
     return private.where("m = 1").select("rep").unionByName(shared.select("rep")).groupBy("rep").agg(F.count("*").alias("own"))
 
 
+def _with_texts(pairs: DataFrame, n: int, docs: DataFrame, broadcast_rows: int) -> DataFrame:
+    """The n pairs (a, b, ...) with text_a and text_b."""
+    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    ends = table(ends, "pair-ends", rows=2 * n)
+    texts = docs.join(F.broadcast(ends) if ends.count() <= broadcast_rows else ends, "doc_id", "left_semi")
+    texts = texts.dropDuplicates(["doc_id"])
+    return pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+
+
+def _differences(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, base = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            sizes, diffs = [], []
+            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if a != last:
+                    last, base = a, shingles(x.as_py(), size)
+                own = shingles(y.as_py(), size)
+                sizes.append(len(own))
+                diffs.append(np.setxor1d(own, base, assume_unique=True).view(np.int64))
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["base", "rep", "n", "toks"])
+
+    return run
+
+
+def differences(still: DataFrame, docs: DataFrame, size: int, percent: int, broadcast_rows: int) -> DataFrame:
+    """(base, rep, n, g, toks) for the open members still(key, rep, comp): how each differs from its bucket's base.
+
+    The base of a bucket is the component whose members meet the most others in
+    all buckets, so that a group of copies has few bases. toks are the shingles
+    that either the member or the base has. Two members differ by
+    d = |toks_x| + |toks_y| - 2 |both| shingles and are alike if
+    (100 + percent) d <= (100 - percent) (n_x + n_y); with
+    g = (100 + percent) |toks| - (100 - percent) n this says
+    g_x + g_y <= 2 (100 + percent) |both|.
+    """
+    kind = still.schema["rep"].dataType.simpleString()
+    weighed = still.join(still.groupBy("key").agg(F.count("*").alias("m")), "key").groupBy("comp").agg(F.sum("m").alias("met"))
+    base = still.join(weighed, "comp").groupBy("key").agg(F.max(F.struct("met", "comp"))["comp"].alias("a"))
+    pairs = table(still.join(base, "key").select("a", F.col("rep").alias("b")).distinct(), "base-members")
+    rows = _with_texts(pairs, pairs.count(), docs, broadcast_rows).select("a", "b", "text_a", "text_b")
+    out = rows.mapInArrow(_differences(size), f"base {kind}, rep {kind}, n long, toks array<long>")
+    return table(out.withColumn("g", (100 + percent) * F.size("toks").cast("long") - (100 - percent) * F.col("n")), "differences")
+
+
+def close_pairs(diffs: DataFrame) -> DataFrame:
+    """Pairs (a, b) that need no shared difference to be alike, each with the member of its group nearest to the base.
+
+    If g_x + g_y <= 0 for any two members, both are so paired: the links join them.
+    """
+    nearest = diffs.groupBy("base").agg(F.min(F.struct("g", "rep", "comp")).alias("near")).select("base", "near.*").toDF("base", "g2", "rep2", "comp2")
+    found = diffs.select("base", "rep", "comp", "g").join(nearest, "base").where((F.col("g") + F.col("g2") <= 0) & (F.col("comp") != F.col("comp2")))
+    return found.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+
+
+def _fewest(members: DataFrame, percent: int) -> DataFrame:
+    """members(base, rep, comp, g, k, ...) with c, the differences that a member must share with any of another component.
+
+    Only those that have as many (k) stay; the others are near nothing that is still apart from them.
+    """
+    least = members.groupBy("base", "comp").agg(F.min("g").alias("g"))
+    first = least.groupBy("base").agg(F.min(F.struct("g", "comp")).alias("f")).select("base", F.col("f.g").alias("g1"), F.col("f.comp").alias("comp1"))
+    second = least.join(first, "base").where("comp <> comp1").groupBy("base", "g1", "comp1").agg(F.min("g").alias("g2"))
+    other = F.when(F.col("comp") == F.col("comp1"), F.col("g2")).otherwise(F.col("g1"))
+    rows = members.drop("c").join(second, "base")
+    return rows.withColumn("c", F.greatest(F.lit(1), F.ceil((F.col("g") + other) / (2 * (100 + percent))))).where("k >= c").drop("g1", "comp1", "g2")
+
+
+def differing_alike(diffs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may share enough differences from their base, by prefix and position.
+
+    Differences that only one component of a group has can't be shared and don't
+    count. The others are ordered rarest first.
+    """
+    toks = diffs.select("base", "rep", "comp", "n", "g", F.explode("toks").alias("tok"))
+    common = toks.groupBy("base", "tok").agg(F.count("*").alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("base", "tok", "m")
+    toks = table(toks.join(common, ["base", "tok"]), "shared-differences")
+    members = toks.groupBy("base", "rep", "comp", "n", "g").agg(F.count("*").alias("k"))
+    for _ in range(2):  # what goes first raises what the others must share
+        members = _fewest(members, percent)
+    members = table(members, "differing-members")
+    place = F.row_number().over(W.partitionBy("base", "rep").orderBy("m", "tok"))
+    prefix = toks.select("base", "rep", "tok", "m").join(members, ["base", "rep"]).withColumn("i", place).where("i <= k - c + 1")
+    prefix = table(prefix.select("base", "tok", "rep", "comp", "n", "g", (F.col("k") - F.col("i") + 1).alias("left")), "difference-prefixes")
+    x, y = (prefix.select("base", "tok", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "n", "g", "left"))) for s in "xy")
+    sized = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    enough = F.col("g_x") + F.col("g_y") <= 2 * (100 + percent) * F.least("left_x", "left_y")
+    near = (x.base == y.base) & (x.tok == y.tok) & (F.col("rep_x") < F.col("rep_y")) & (F.col("comp_x") != F.col("comp_y")) & sized & enough
+    return x.join(y, near).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, broadcast_rows: int) -> DataFrame:
     """The pairs (a, b) of class ids whose full sets are alike."""
     n = pairs.count()
@@ -229,11 +325,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, per
     n = hopeful.count()
     if not n:
         return hopeful
-    ends = hopeful.select(F.col("a").alias("doc_id")).unionByName(hopeful.select(F.col("b").alias("doc_id"))).distinct()
-    ends = table(ends, "pair-ends", rows=2 * n)
-    texts = docs.join(F.broadcast(ends) if ends.count() <= broadcast_rows else ends, "doc_id", "left_semi")
-    texts = texts.dropDuplicates(["doc_id"])
-    rows = hopeful.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    rows = _with_texts(hopeful, n, docs, broadcast_rows)
     return table(rows.select("a", "b", "text_a", "text_b").mapInArrow(_alike(size, percent), f"a {kind}, b {kind}"), "links")
 
 
@@ -264,6 +356,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, broadcast
     tested = table(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pivot-pairs")
     links = _verified(tested, reps, docs, size, percent, broadcast_rows)
     comps, own = components(links), None
+
+    def join_up(fresh: DataFrame) -> None:
+        nonlocal tested, comps
+        fresh = table(fresh.join(tested, ["a", "b"], "left_anti"), "further-pairs")
+        tested = tested.unionByName(fresh)
+        links = _verified(fresh, reps, docs, size, percent, broadcast_rows)
+        if not links.isEmpty():
+            comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
+
     for salt in (1, 2, None):
         of = members.join(comps, members.rep == comps.node, "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
         split = of.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("n").alias("n_least")).where("c1 <> c2").select("key", "n_least")
@@ -276,19 +377,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, broadcast
         still = table(still, "open-members")
         if still.isEmpty():
             break
-        turn = F.xxhash64(F.lit(salt or 0), "rep")
-        partners = still.groupBy("key").agg(*(F.min_by(c, turn).alias(c) for c in ("rep", "n", "comp", "most"))) if salt else still
-        x, y = (df.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "comp", "most"))) for df, s in ((still, "x"), (partners, "y")))
-        both = F.least("most_x", "most_y")
-        near = (F.col("comp_x") != F.col("comp_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (100 * both >= percent * (F.col("n_x") + F.col("n_y") - both))
-        if not salt:  # after two more pivots of each bucket, all pairs that are left
-            near = near & (F.col("rep_x") < F.col("rep_y"))
-        pairs = x.join(y, (x.key == y.key) & near).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
-        fresh = table(pairs.join(tested, ["a", "b"], "left_anti"), "further-pairs")
-        tested = tested.unionByName(fresh)
-        links = _verified(fresh, reps, docs, size, percent, broadcast_rows)
-        if not links.isEmpty():
-            comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
+        if salt:
+            partners = still.groupBy("key").agg(*(F.min_by(c, F.xxhash64(F.lit(salt), "rep")).alias(c) for c in ("rep", "n", "comp", "most")))
+            x, y = (df.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "comp", "most"))) for df, s in ((still, "x"), (partners, "y")))
+            both = F.least("most_x", "most_y")
+            near = (F.col("comp_x") != F.col("comp_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (100 * both >= percent * (F.col("n_x") + F.col("n_y") - both))
+            join_up(x.join(y, (x.key == y.key) & near).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct())
+            continue
+        diffs = differences(still, docs, size, percent, broadcast_rows)
+        for find in (close_pairs, lambda df: differing_alike(df, percent)):
+            named = diffs.join(comps, diffs.rep == comps.node, "left").withColumn("comp", F.coalesce("comp", "rep")).drop("node")
+            join_up(find(named))
     same = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", *key).join(classes.select(*key, "rep"), key).select("doc_id", "rep").distinct()
     # Rows that share an id tie their classes together.
     ties = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("doc_id")
