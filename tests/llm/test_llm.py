@@ -187,6 +187,39 @@ def test_near_duplicates_against_all_pairs(spark):
     assert all(got[i].kept == (i == want[i]) for i in got)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_lookup_by_differences_loses_no_link(spark, percent):
+    """Every alike pair of different components is found, or both ends are joined by the close pairs."""
+    import random
+
+    rng = random.Random(percent)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    pool = [(rng.randrange(150), f"e{k}") for k in range(25)]  # edits that several copies share
+    texts = [" ".join(base)]
+    for k in range(60):
+        words = list(base)
+        for at, w in rng.sample(pool, k % 12):
+            words[at] = w
+        for _ in range(k % 5):
+            words[rng.randrange(150)] = f"o{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [set(near_dedup.shingles(t, 3).tolist()) for t in texts]
+    comp = [i % 7 if i < 21 else i for i in range(len(texts))]
+    still = spark.createDataFrame([(i % 2, i, comp[i]) for i in range(len(texts))] + [((i + 1) % 2, i, comp[i]) for i in range(0, len(texts), 3)], "key long, rep long, comp long")
+    diffs = near_dedup.differences(still, common.pick(docs(spark, *texts), doc_id="doc_id", text="text"), 3, percent, 1000)
+    assert diffs.select("base").distinct().count() <= 2
+    named = diffs.join(still.select("rep", "comp").distinct(), "rep")
+    found = {tuple(r) for r in near_dedup.differing_alike(named, percent).collect()}
+    close = {tuple(r) for r in near_dedup.close_pairs(named).collect()}
+    for a, b in close:
+        comp = [min(comp[a], comp[b]) if c in (comp[a], comp[b]) else c for c in comp]
+    bases = {(r.base, r.rep) for r in diffs.select("base", "rep").collect()}
+    together = lambda i, j: any((k, i) in bases and (k, j) in bases for k in {k for k, _ in bases})
+    alike = [(i, j) for j in range(len(texts)) for i in range(j) if together(i, j) and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    assert len(alike) > 20
+    assert all((i, j) in found or comp[i] == comp[j] for i, j in alike)
+
+
 def test_links_form_long_chains(spark):
     words = [f"w{i}" for i in range(400)]
     texts = []
