@@ -55,7 +55,8 @@ def _search(patterns: list[tuple[str, list[str]]]):
                 spans, named, at, n = [], set(), 0, 0
                 for end, (length, count, items) in auto.iter(plain) if patterns else ():
                     begin = end - length + 1
-                    n += plain.count(" ", at, begin)  # spaces before it: the number of its first word
+                    # Spaces before it: the number of its first word. Matches come by their ends, so a longer one may begin earlier.
+                    n += plain.count(" ", at, begin) if begin >= at else -plain.count(" ", begin, at)
                     at = begin
                     spans.append((n, n + count))
                     named.update(items)

@@ -130,6 +130,30 @@ def test_benchmark_spans_and_blocks(spark):
     assert all(blocks[i].n_hit == one[i].n_hit and sorted(blocks[i].items) == sorted(one[i].items) for i in one)
 
 
+def brute_hits(text, items, size=10):
+    words, hit = re.findall("[0-9a-z]+", text.lower()), set()
+    for item in items:
+        w = item.split()
+        n = min(size, len(w))
+        for window in (w[i : i + n] for i in range(len(w) - n + 1)):
+            hit |= {j for i in range(len(words) - n + 1) if words[i : i + n] == window for j in range(i, i + n)}
+    return hit
+
+
+def test_short_items_inside_longer_windows(spark):
+    import random
+
+    rng = random.Random(4)
+    items = ["one two three four five six seven eight nine ten", "five six", "a b c a b c a b c a b c", "b c", "c a b"]
+    texts = ["One two three four five six seven eight nine ten", "x five six, " + items[0] + " y five six " + items[2] + " z"]
+    texts += [" ".join(rng.choice([*items, "x", "a", "b", "five", "six"]) for _ in range(12)) for _ in range(40)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for r in decontam.find_benchmark(docs(spark, *texts), bench).collect():
+        want = brute_hits(texts[r.doc_id], items)
+        assert {j for h in r.hit_words for j in range(h["first"], h["last"] + 1)} == want and r.n_hit == len(want)
+        assert [len(re.findall("[0-9a-z]+", texts[r.doc_id][s.start : s.end].lower())) for s in r.spans] == [h["last"] - h["first"] + 1 for h in r.hit_words]
+
+
 def brute_secrets(text):
     text, out = text or "", []
     for k, (kind, pattern, group, least) in enumerate((("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24))):
