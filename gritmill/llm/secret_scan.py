@@ -97,7 +97,9 @@ def link_parts(spans: DataFrame, key: list[str], scope: int) -> DataFrame:
         mine = mine.withColumn("bin", F.floor(F.col("start") / scope))
         inside = (F.col("o_start") <= F.col("start")) & (F.col("end") <= F.col("o_end"))
         mine = mine.join(other.where(F.col("o_kind_no") < STRONG), same & inside, "left_anti")
-        linked = mine.join(other.where(F.col("o_kind_no").isin([number[p] for p in parts])), same & near(scope) & (F.col("o_end") + scope > F.col("start")), "left_semi").drop("bin")
+        # Every bin that the weak span touches: it may begin before all bins of a part that is near its end.
+        mine = mine.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope))))
+        linked = mine.join(other.where(F.col("o_kind_no").isin([number[p] for p in parts])), same & near(scope) & (F.col("o_end") + scope > F.col("start")), "left_semi").drop("bin").distinct()
         out = linked if out is None else out.unionByName(linked)
     return out
 
