@@ -61,11 +61,13 @@ def template_sets(templates) -> list[tuple[int, str, list[str]]]:
     return [(k, label, words(t)) for k, (label, t) in enumerate(templates)]
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False) -> DataFrame:
     """(doc_id, n_words, starts, base_labels, found, labels, score): one row per input row.
 
     starts holds the word numbers of all phrase places; found the templates that
     a block (a line) contains to the threshold, as (label, block, containment);
+    with wrapped, a run of words that crosses lines is a block too, under the
+    number of its first line: for a template of n words, of n / threshold words;
     score is the best containment, 1 where a phrase stands. Null, empty and
     wordless texts have no words and no labels. Equal rows get equal results; an
     empty table gives no rows. Templates are a parameter, and only what has as
@@ -92,7 +94,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8,
         ),
         "license-scan",
     )
-    found = block_matches(scanned, sets, need, vocabulary)
+    spans = [math.ceil(len(re.findall(r"[0-9a-z]+", t.lower())) / threshold - 1e-9) for _, t in templates]
+    found = block_matches(scanned, sets, need, vocabulary, spans if wrapped else None)
     best = found.groupBy("doc_id", "rk1", "rk2").agg(F.array_sort(F.collect_set(F.struct("label", "block", "containment"))).alias("found"))
     best = best.select(F.col("doc_id").alias("doc_id2"), F.col("rk1").alias("rk12"), F.col("rk2").alias("rk22"), "found")
     out = scanned.join(best, scanned.doc_id.eqNullSafe(best.doc_id2) & (scanned.rk1 == best.rk12) & (scanned.rk2 == best.rk22), "left")
@@ -105,8 +108,27 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8,
     return out.select("doc_id", "n_words", "starts", "base_labels", "found", labels.alias("labels"), score.alias("score"))
 
 
-def block_matches(scanned: DataFrame, sets, need, vocabulary) -> DataFrame:
-    """(doc_id, rk1, rk2, label, block, containment) of every block that meets a template's threshold."""
+def crossing(ranks: Column, lines: Column, size: int, least: int) -> Column:
+    """(block, run) of the runs of `size` words that cross lines, begin with a known word and hold `least` known words.
+
+    ranks has the rank of each word of the text, -1 for an unknown one, lines its line. A run that begins with an
+    unknown word holds no more than the next one, and one within a line no more than the line.
+    """
+    end = F.size(ranks) - 1
+    starts = F.filter(F.sequence(F.lit(0), end), lambda p: (F.get(ranks, p) >= 0) & (F.get(lines, p) < F.get(lines, F.least(p + size - 1, end))))
+    runs = F.transform(starts, lambda p: F.struct(F.get(lines, p).alias("block"), F.slice(ranks, p + 1, size).alias("run")))
+    return F.when(F.size(ranks) > 0, F.filter(runs, lambda r: F.size(known(r["run"])) >= least))
+
+
+def known(run: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(run, lambda r: r >= 0)))
+
+
+def block_matches(scanned: DataFrame, sets, need, vocabulary, spans: list[int] | None = None) -> DataFrame:
+    """(doc_id, rk1, rk2, label, block, containment) of every block that meets a template's threshold.
+
+    Blocks are lines and, where spans has a number of words for each template, the runs of so many words that cross lines.
+    """
     spark = scanned.sparkSession
     counts = {r.token: r.n for r in scanned.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
@@ -114,22 +136,32 @@ def block_matches(scanned: DataFrame, sets, need, vocabulary) -> DataFrame:
     prefixes = []
     for k, label, words in sets:
         ranks = sorted(rank[w] for w in words)
-        prefixes += [(k, label, r, i, need[k], ranks) for i, r in enumerate(ranks[: len(ranks) - need[k] + 1])]
-    prefix = spark.createDataFrame(prefixes, "template int, label string, rank int, at int, need int, ranks array<int>")
+        prefixes += [(k, label, r, i, need[k], ranks, spans[k] if spans else 0) for i, r in enumerate(ranks[: len(ranks) - need[k] + 1])]
+    prefix = spark.createDataFrame(prefixes, "template int, label string, rank int, at int, need int, ranks array<int>, span int")
     texts = scanned.where(F.col("text").isNotNull()).dropDuplicates(["doc_id", "rk1", "rk2"])
     blocks = texts.select("doc_id", "rk1", "rk2", F.posexplode(F.split("text", "\n", -1)).alias("block", "line"))
     held = F.array_distinct(F.filter(F.split(normalised(F.col("line")), " "), lambda w: w.isin(vocabulary)))
     ordered = F.array(*map(F.lit, order))
     blocks = blocks.withColumn("held", F.sort_array(F.transform(held, lambda w: (F.array_position(ordered, w) - 1).cast("int"))))
-    blocks = blocks.where(F.size("held") >= min(need.values()))
-    met = blocks.select("doc_id", "rk1", "rk2", "block", "held", F.posexplode("held").alias("pos", "rank"))
+    blocks = blocks.where(F.size("held") >= min(need.values())).select("doc_id", "rk1", "rk2", "block", "held", F.lit(None).cast("array<int>").alias("run"))
+    if spans:
+        by_line = F.transform(F.split("text", "\n", -1), lambda line: F.filter(F.split(normalised(line), " "), lambda w: w != ""))
+        words = texts.select("doc_id", "rk1", "rk2", by_line.alias("by_line"))
+        ranks = F.transform(F.flatten("by_line"), lambda w: (F.array_position(ordered, w) - 1).cast("int"))
+        lines = F.flatten(F.transform("by_line", lambda ws, i: F.array_repeat(i, F.size(ws))))
+        words = words.select("doc_id", "rk1", "rk2", ranks.alias("ranks"), lines.alias("lines"))
+        runs = words.select("doc_id", "rk1", "rk2", F.explode(crossing(F.col("ranks"), F.col("lines"), max(spans), min(need.values()))).alias("r"))
+        blocks = blocks.unionByName(runs.select("doc_id", "rk1", "rk2", "r.block", known(F.col("r.run")).alias("held"), "r.run"))
+    met = blocks.select("doc_id", "rk1", "rk2", "block", "held", "run", F.posexplode("held").alias("pos", "rank"))
     met = met.join(F.broadcast(prefix), "rank").where((F.size("held") >= F.col("need")) & (F.least(F.size("ranks") - F.col("at"), F.size("held") - F.col("pos")) >= F.col("need")))
-    met = met.withColumn("both", F.size(F.array_intersect("held", "ranks"))).where(F.col("both") >= F.col("need"))
+    # A run is as long as the longest template needs; of it, each template is compared with its own span.
+    own = F.coalesce(F.slice("run", F.lit(1), F.col("span")), F.col("held"))
+    met = met.withColumn("both", F.size(F.array_intersect(own, F.col("ranks")))).where(F.col("both") >= F.col("need"))
     return met.select("doc_id", "rk1", "rk2", "label", "block", (F.col("both") / F.size("ranks")).alias("containment")).groupBy("doc_id", "rk1", "rk2", "label", "block").agg(F.max("containment").alias("containment"))
 
 
 def op9_license_scan(spark, sf_dir):
-    out = scan_licenses(read(spark, sf_dir, "documents"))
+    out = scan_licenses(read(spark, sf_dir, "documents"), wrapped=True)
     return out.select(
         "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
         F.array_min("starts").alias("first_word"), F.array_max("starts").alias("last_word"),

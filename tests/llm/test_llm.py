@@ -364,6 +364,38 @@ def test_licenses(spark):
     assert (rows[4].n_words, rows[5].base_labels, rows[6].score) == (0, ["gpl"], 0.0)
 
 
+def test_wrapped_notices(spark):
+    texts = [
+        "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the",
+        "x\n\nRedistribution and use in source and binary forms, with or without\n * modification, are permitted provided",
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as",
+        "Released under\nthe MIT License.", "All rights\n" + "x " * 30 + "\nreserved", "under\nthe sun", "\n", None, "Released under the MIT License.",
+    ]
+    rows = {r.doc_id: r for r in license_scan.scan_licenses(docs(spark, *texts), wrapped=True).collect()}
+    assert [rows[i].labels for i in range(9)] == [["mit"], ["bsd"], ["gpl"], ["mit"], [], [], [], [], ["mit"]]
+    assert (rows[0].score, rows[1].found[0].block, rows[2].found[0].containment) == (1.0, 2, 1.0)
+
+
+def test_wrapped_runs_against_all_runs(spark):
+    import random
+
+    rng = random.Random(9)
+    sets = [(label, re.findall("[0-9a-z]+", t.lower())) for label, t in license_scan.TEMPLATES]
+    texts = []
+    for _ in range(60):
+        words = [w for _ in range(3) for w in [*rng.choice(license_scan.TEMPLATES)[1].split(), *["x"] * rng.randrange(12)] if rng.random() < 0.9]
+        texts.append("".join(w + rng.choice("   \n") for w in words))
+    rows = {r.doc_id: r for r in license_scan.scan_licenses(docs(spark, *texts), wrapped=True).collect()}
+    for i, t in enumerate(texts):
+        words = re.findall("[0-9a-z]+", t.lower())
+        in_lines, want = [re.findall("[0-9a-z]+", line.lower()) for line in t.split("\n")], set()
+        for label, s in sets:
+            runs = in_lines + [words[k : k + -(-len(s) * 5 // 4)] for k in range(len(words))]
+            want.add((label, max(len(set(s) & set(run)) for run in runs) / len(set(s))))
+        assert {x.label for x in rows[i].found} == {label for label, c in want if c >= 0.8}
+        assert max((x.containment for x in rows[i].found), default=0) == max((c for _, c in want if c >= 0.8), default=0)
+
+
 def test_targets_fill_up(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 1000), ("c", 10), (None, 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
