@@ -34,6 +34,10 @@ AROUND = frozenset(
     " contentinfo complementary".split()
 )
 MAIN = ("article", "main")
+#: Words that begin a class of readers' comments.
+READERS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: What may stand in head; all else ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dd dt".split())
 SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIMITS = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table", "tbody", "thead"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
@@ -55,6 +59,8 @@ def parse(source: str) -> Node:
     at, node, low = 0, root, None
     text = lambda a, b: node.parts.append(entities.unescape(source[a:b])) if b > a else None
     while m := TOKEN.search(source, at):
+        if node.tag == "head" and source[at : m.start()].strip():
+            node = node.parent
         text(at, m.start())
         at = m.end()
         name = m[2] or m[5]
@@ -68,6 +74,8 @@ def parse(source: str) -> Node:
             if up is not None and up.parent is not None:
                 node = up.parent
             continue
+        if node.tag == "head" and tag not in IN_HEAD:
+            node = node.parent
         if tag in CLOSES_P:
             up = node
             while up.tag in INLINE:  # an open b or span does not keep a paragraph open
@@ -95,6 +103,8 @@ def parse(source: str) -> Node:
             at = len(source) if close < 0 else close + 1
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             node = child
+    if node.tag == "head" and source[at:].strip():
+        node = node.parent
     text(at, len(source))
     return root
 
@@ -107,15 +117,46 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
+def _readers(n: Node) -> bool:
+    """Whether a node's class marks readers' comments; comments-open and the like only tell the page's state."""
+    words = (re.split(r"[^a-z0-9]+", token) for token in n.hint.split())
+    return any(not READERS.isdisjoint(w[:1]) and not {"open", "closed"} & set(w) for w in words)
+
+
+def _wrappers(nodes: list[Node], marked: set[Node]) -> set[Node]:
+    """The marked node that holds most of the text outside the others, and what it lies in; none if there is no such.
+
+    A node with an AROUND word as a whole class needs four times the rest, one with such a word inside a class
+    (has-sidebar) or a form more than the rest. Readers' comments are no wrapper.
+    """
+    own, hidden = {}, set()
+    for n in nodes:
+        if n.parent in hidden or (n.parent is not None and n.tag in SKIP and n.tag != "form") or (n in marked and _readers(n)):
+            hidden.add(n)
+    for n in reversed(nodes):
+        own[n] = sum(len("".join(x.split())) if isinstance(x, str) else 0 if x in marked or x in hidden else own[x] for x in n.parts)
+    best = max((n for n in nodes if n in marked and n not in hidden), key=own.get, default=None)
+    if best is None or own[best] <= (1 if AROUND.isdisjoint(best.hint.split()) else 4) * own[nodes[0]]:
+        return set()
+    out = set()
+    while best is not None:
+        out.add(best)
+        best = best.parent
+    return out
+
+
 def _measure(root: Node) -> list[Node]:
     nodes = _order(root)
+    readers = {n for n in nodes if n.tag == "article" and _readers(n) and not any(isinstance(x, Node) and x.tag == "h1" for x in _order(n))}
     for n in reversed(nodes):
-        n.holds_main = n.tag in MAIN or any(isinstance(x, Node) and x.holds_main for x in n.parts)
+        n.holds_main = (n.tag in MAIN and n not in readers) or any(isinstance(x, Node) and x.holds_main for x in n.parts)
+    marked = {n for n in nodes if not n.holds_main and n.tag not in ("html", "body") and (n.tag == "form" or n.hint and not AROUND.isdisjoint(re.split(r"[^a-z0-9]+", n.hint)))}
+    wrappers = _wrappers(nodes, marked) if marked and not root.holds_main else set()
     for n in nodes:
         inside = n.parent is not None and n.parent.cut
-        around = not n.holds_main and (not AROUND.isdisjoint(re.split(r"[^a-z0-9]+", n.hint)) if n.hint else False)
+        around = n in marked and n not in wrappers
         page_header = n.tag == "header" and not _within(n, MAIN)
-        n.cut = inside or n.tag in SKIP or around or page_header
+        n.cut = inside or (n.tag in SKIP and n.tag != "form") or around or page_header
     for n in reversed(nodes):
         if n.cut:
             continue

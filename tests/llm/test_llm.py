@@ -306,6 +306,32 @@ def test_small_pages(source, want):
     assert html_extract.main_text(source) == want
 
 
+STORY = "<p>A long story about the river and the people who live by it, told in many words.</p><p>It goes on for one more paragraph, as long as the first one was.</p>"
+TOLD = "A long story about the river and the people who live by it, told in many words. It goes on for one more paragraph, as long as the first one was."
+READER = "<p>I liked this very much, thank you for writing it all down for us.</p>"
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        (f'<html><body class="single no-sidebar"><div>{STORY}</div></body></html>', TOLD),
+        (f'<body><div class="content has-sidebar">{STORY}</div><div class="sidebar"><p>Other things.</p></div></body>', TOLD),
+        (f'<body class="toc-left"><div class="page toc-left"><div class="content has-sidebar">{STORY}</div></div></body>', TOLD),
+        (f"<html><head><title>T</title><meta charset=utf-8><body><article>{STORY}</article></body></html>", TOLD),
+        (f"<head><title>T</title><p>{TOLD}</p>", TOLD),
+        (f"<head><title>T</title></head><body>{STORY}</body>", TOLD),
+        (f'<body><form action="/p.aspx"><article>{STORY}</article></form></body>', TOLD),
+        (f'<body><form action="/p.aspx"><div>{STORY}</div></form></body>', TOLD),
+        (f'<body><div>{STORY}</div><form><p>Your name and mail</p></form></body>', TOLD),
+        (f'<body><article class="post comments-open">{STORY}</article><section id="comments"><article class="comment">{READER * 5}</article></section></body>', TOLD),
+        (f'<body><div class="post">{STORY}</div><div class="comments">{READER * 9}</div></body>', TOLD),
+        (f'<body><article class="comment"><h1>Opinion</h1>{STORY}</article></body>', "Opinion " + TOLD),
+    ],
+)
+def test_wrappers_and_comments(source, want):
+    assert html_extract.main_text(source) == want
+
+
 def test_pages_of_the_test_table(spark):
     rows = common.read(spark, SF, "pages").select("page_id", "html").collect()
     got = {r.page_id: r.text for r in html_extract.extract_text(common.read(spark, SF, "pages")).collect()}
