@@ -536,6 +536,12 @@ def priority_sort(spark, d):
     return table(spark, d, "orders").orderBy(F.col("o_orderpriority").asc_nulls_last(), *select.priority_order("o_totalprice", key="o_orderkey")).limit(500).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
+@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def priority_sort_all(spark, d):
+    """All rows in the order whose first rows priority_sort has; a comparison of rows does not see their order."""
+    return table(spark, d, "orders").orderBy(F.col("o_orderpriority").asc_nulls_last(), *select.priority_order("o_totalprice", key="o_orderkey")).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
 # --- downloads, paths, names
 
 

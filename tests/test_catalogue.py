@@ -13,3 +13,9 @@ def test_query_agrees_with_its_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(catalogue.QUERIES) == set(catalogue.SQL)
+
+
+def test_the_whole_sort_has_all_rows_in_order(spark):
+    got = [tuple(r) for r in catalogue.QUERIES["priority_sort_all"](spark, SF).collect()]
+    orders = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_totalprice").collect()
+    assert len(got) > 500 and got == sorted(map(tuple, orders), key=lambda r: (r[1], -r[2], r[0]))
