@@ -494,7 +494,7 @@ def _quota(spark, d, k=400):
 
 def _priorities(spark, d):
     """The classes of the test table and one that has no rows."""
-    return [*(r[0] for r in table(spark, d, "orders").select("o_orderpriority").distinct().orderBy("o_orderpriority").limit(100).collect()), "none"]
+    return [*(r[0] for r in table(spark, d, "orders").select("o_orderpriority").distinct().orderBy("o_orderpriority").collect()), "none"]
 
 
 @query(f"SELECT o_orderkey, o_orderpriority, rn AS rank_in_selected_category, 'category_quota' AS selection_stage FROM ({RANKED}) WHERE rn <= 400")
@@ -517,7 +517,7 @@ SEGMENT_RANK = "SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY
 
 def _sample(spark, d):
     x = table(spark, d, "customer")
-    classes = [r[0] for r in x.select("c_mktsegment").distinct().orderBy("c_mktsegment").limit(100).collect()]
+    classes = [r[0] for r in x.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]
     return select.stratified_sample(x, "c_mktsegment", 200, 20260325, classes, key="c_custkey")
 
 
@@ -639,7 +639,7 @@ def _probs(spark, d):
     """Vectors with logits against the mean vector of each label; as many prompts as there are labels."""
     x = table(spark, d, "embeddings")
     means = x.select("label", F.posexplode("embedding").alias("i", "v")).groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    means = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda r: r["v"]).alias("v")).orderBy("label").limit(1000)
+    means = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda r: r["v"]).alias("v")).orderBy("label")
     prompts = {f"l{r.label}": r.v for r in means.collect()}
     return score.class_probs(x.withColumn("category", F.concat(F.lit("l"), F.col("label"))), "embedding", prompts)
 

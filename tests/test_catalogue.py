@@ -19,3 +19,10 @@ def test_the_whole_sort_has_all_rows_in_order(spark):
     got = [tuple(r) for r in catalogue.QUERIES["priority_sort_all"](spark, SF).collect()]
     orders = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_totalprice").collect()
     assert len(got) > 500 and got == sorted(map(tuple, orders), key=lambda r: (r[1], -r[2], r[0]))
+
+
+def test_no_class_is_dropped(spark, tmp_path):
+    d = str(tmp_path)
+    spark.range(150).selectExpr("id AS o_orderkey", "concat('p', id) AS o_orderpriority", "double(id) AS o_totalprice").write.parquet(f"{d}/orders.parquet")
+    spark.range(150).selectExpr("id AS c_custkey", "concat('s', id) AS c_mktsegment").write.parquet(f"{d}/customer.parquet")
+    assert catalogue.QUERIES["quota_select"](spark, d).count() == catalogue.QUERIES["stratified_sample"](spark, d).count() == 150
