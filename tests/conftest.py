@@ -1,5 +1,6 @@
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -36,7 +37,7 @@ def rows_of(frame):
     names = sorted(frame.columns)
 
     def cell(v):
-        if v is None or v != v or str(v) == "<NA>":
+        if v is None or v is pd.NA or v is pd.NaT or v != v:
             return "-"
         return f"{v:.9g}" if isinstance(v, float) else str(v)
 
