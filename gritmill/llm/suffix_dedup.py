@@ -1,17 +1,22 @@
 """Repeated 200-byte strings, by bucket-pointer refinement over all texts.
 
-Every position starts in the bucket of its 25-byte string. A bucket number and
-the one 25 bytes on give the bucket of 50 bytes, those give 100, and those 200:
-each refinement reuses the bucket numbers of the one before at a later offset.
-Bucket numbers are 64-bit, the same in every task, so buckets need no global
-sort of text: a task sorts its own numbers, and only numbers travel.
-
-To send few of them, positions go two ways. First, of each run of 101 positions
-the one with the smallest 100-byte bucket (any 200-byte string holds such an
-anchor, and equal strings have equal ones). Only positions whose anchor occurs
-elsewhere can start a repeated string; for those the 200-byte buckets are
-compared. No position is left out, and a number that many texts share is sent
-once per segment, so frequent passages gather nowhere.
+Of every 101 positions one is an anchor: the one whose 100-byte string has the
+smallest bucket number (25-byte buckets refined to 50 and 100 by the bucket 25
+and 50 bytes on). Any 200-byte string holds the anchor of its first 101
+positions, and equal strings hold equal ones at the same place. So anchors
+start in the bucket of their 100 bytes, and only buckets with more than one
+member live on.
+
+A member of a live bucket stands for a few strings of 200 bytes round its
+anchor. Members with the same bytes are one class: what it stands for is
+repeated. Buckets with several classes, one of which occurs once, are refined
+on their bytes: 8-byte buckets are sorted on the bucket pointers 8, 16, 32, 64
+and 72 bytes on, each sort updates the pointers that the next one reuses, and
+buckets of one position are left alone. That compares bytes and nothing else.
+
+Groups of live buckets go to one task each, as many as fit its memory. A bucket
+of more than `split` classes is not gathered: its strings are counted one by
+one, by 128-bit numbers, with partial counts before the shuffle.
 """
 
 from __future__ import annotations
@@ -27,13 +32,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, read, table
+from .common import pick, read, shared_dir, table
 
-START, LENGTH = 25, 200
-HALF = LENGTH // 2
+START, CORE, LENGTH = 25, 100, 200
 _MUL, _MUL2, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), 0xD6E8FEB86659FD93
 _BYTES = np.random.default_rng(8).integers(1, 2**63, 256, dtype=np.uint64)
-PIECE = 1 << 17
+#: Positions handled at a time; with what follows them they have numbers of 18 bits.
+PIECE, BITS = 1 << 17, 18
+#: Distances at which pointers of 8 bytes, 16, ... are refined; the last makes 200 bytes of 128.
+STEPS = (8, 16, 32, 64, 72)
 
 
 @functools.cache
@@ -44,8 +51,8 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, axis=1)
 
 
-def refine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The buckets of positions from their buckets and those at a later offset."""
+def _named(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number, the same in all tasks, for the bucket of positions and that at a later offset."""
     x = a * _MUL
     x ^= x >> np.uint64(29)
     x += b
@@ -54,158 +61,90 @@ def refine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def _buckets(piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """100-byte and 200-byte buckets of the positions of a piece."""
-    powers = _powers(PIECE + LENGTH)
+def core_buckets(piece: np.ndarray) -> np.ndarray:
+    """Numbers of the 100-byte buckets of a piece's positions."""
+    powers = _powers(PIECE + 2 * LENGTH)
     sums = np.zeros(len(piece) + 1, np.uint64)
     np.cumsum(_BYTES[piece] * powers[0, : len(piece)], out=sums[1:])
     h = (sums[START:] - sums[:-START]) * powers[1, : len(piece) - START + 1]
     h ^= h >> np.uint64(31)
-    q = START
-    while q < HALF:
-        h = refine(h[:-q], h[q:])
-        q *= 2
-    return h, refine(h[:-HALF], h[HALF:])
+    for q in (START, 2 * START):
+        h = _named(h[:-q], h[q:])
+    return h
 
 
-def buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same for a whole segment, piece by piece so that the work stays in the cache."""
-    n = len(data)
-    half, full = np.zeros(max(0, n - HALF + 1), np.uint64), np.zeros(max(0, n - LENGTH + 1), np.uint64)
-    for at in range(0, max(0, n - HALF + 1), PIECE):
-        piece = data[at : at + PIECE + LENGTH - 1]
-        if len(piece) >= LENGTH:
-            a, b = _buckets(piece)
-        else:  # the last bytes hold no string of full length
-            a, b = _buckets(np.concatenate([piece, np.zeros(LENGTH - len(piece), np.uint8)]))
-            a, b = a[: len(piece) - HALF + 1], b[:0]
-        half[at : at + PIECE] = a[: min(PIECE, len(half) - at)]
-        full[at : at + PIECE] = b[: max(0, min(PIECE, len(full) - at))]
-    return half, full
-
-
-def _slide(x: np.ndarray, width: int, how) -> np.ndarray:
-    """how (minimum, maximum) over x[i : i + width]."""
+def _slide(x: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of x[i : i + width]."""
     w = 1
     while 2 * w <= width:
-        x = how(x[:-w], x[w:])
+        x = np.minimum(x[:-w], x[w:])
         w *= 2
-    return how(x[: len(x) - (width - w)], x[width - w :]) if w < width else x
-
-
-class Segment:
-    """Texts end to end; positions at which a whole string of 200 bytes begins are valid."""
-
-    def __init__(self, blob: bytes, lens):
-        self.data = np.frombuffer(zstandard.decompress(blob, max_output_size=max(1, int(np.sum(lens)))), np.uint8) if np.sum(lens) else np.zeros(0, np.uint8)
-        self.lens = np.asarray(lens, np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lens)])[:-1]
-        n = len(self.data)
-        mark = np.zeros(n + 1, np.int32)
-        long = self.lens >= LENGTH
-        np.add.at(mark, self.starts[long], 1)
-        np.add.at(mark, self.starts[long] + self.lens[long] - LENGTH + 1, -1)
-        self.valid = np.cumsum(mark)[: max(0, n - LENGTH + 1)] > 0
-        self.anchors = np.zeros(0, np.int64)
-        if self.valid.any():
-            self.half, self.full = buckets(self.data)
-            low = _slide(self.half, HALF + 1, np.minimum)
-            low[~self.valid[: len(low)]] = 0
-            self.low = low  # the smallest bucket of the window at each position, 0 where there is none
-            pad = np.zeros(HALF, np.uint64)
-            high = _slide(np.concatenate([pad, low, pad]), HALF + 1, np.maximum)
-            self.anchors = np.flatnonzero((high == self.half) & (high > 0))
-
-    def anchor_keys(self) -> np.ndarray:
-        # anchors are small numbers: mixed once more they spread evenly
-        return refine(self.half[self.anchors], np.uint64(1)) if len(self.anchors) else np.zeros(0, np.uint64)
-
-    def candidates(self, repeated: np.ndarray) -> np.ndarray:
-        """Valid positions whose own anchor, the smallest bucket from there on, is repeated.
-
-        Other anchors in reach may owe their choice to what lies outside the string.
-        """
-        if not len(self.anchors):
-            return np.zeros(0, np.int64)
-        begins = np.concatenate([[0], np.flatnonzero(self.low[1:] != self.low[:-1]) + 1])
-        numbers = np.sort(refine(self.half[self.anchors[repeated]], np.uint64(1)))
-        wanted = refine(self.low[begins], np.uint64(1))
-        at = np.minimum(np.searchsorted(numbers, wanted), max(0, len(numbers) - 1))
-        ok = (numbers[at] == wanted) & (self.low[begins] > 0) if len(numbers) else np.zeros(len(begins), bool)
-        return np.flatnonzero(np.repeat(ok, np.diff(np.append(begins, len(self.low)))))
-
-    def removed(self, positions: np.ndarray) -> np.ndarray:
-        mark = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(mark, positions, 1)
-        np.add.at(mark, positions + LENGTH, -1)
-        return np.cumsum(mark)[:-1] > 0
-
-
-def pack(numbers: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte plane by byte plane."""
-    planes = np.diff(numbers, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
-
-
-def unpack(blob: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob, max_output_size=8 * n), np.uint8).reshape(8, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
-
-
-def _part(numbers: np.ndarray, n_parts: int) -> np.ndarray:
-    return ((numbers >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
-
-
-MESSAGE = "seg string, part int, n int, numbers binary, twice binary"
-
-
-def _messages(seg: str, keys: np.ndarray, n_parts: int) -> list[dict]:
-    """A segment's different keys, cut by value; whether a key occurs in it more than once."""
-    numbers, counts = np.unique(keys, return_counts=True)
-    edges = np.searchsorted(_part(numbers, n_parts), np.arange(n_parts + 1))
-    out = []
-    for p in np.flatnonzero(np.diff(edges)):
-        a, b = edges[p], edges[p + 1]
-        out.append({"seg": seg, "part": int(p), "n": int(b - a), "numbers": pack(numbers[a:b]), "twice": np.packbits(counts[a:b] > 1).tobytes()})
-    return out
-
-
-def _meet(group: pa.Table) -> pa.Table:
-    """All messages of a part: which of their keys occur more than once altogether."""
-    rows = group.select(["seg", "part", "n", "numbers", "twice"]).to_pylist()
-    keys = np.concatenate([unpack(r["numbers"], r["n"]) for r in rows])
-    twice = np.concatenate([np.unpackbits(np.frombuffer(r["twice"], np.uint8), count=r["n"]) for r in rows]).astype(bool)
-    order = np.argsort(keys)
-    found = keys[order]
-    new = np.concatenate([[True], found[1:] != found[:-1]])
-    group_no = np.cumsum(new) - 1
-    many = (np.bincount(group_no) > 1) | (np.bincount(group_no, weights=twice[order]) > 0)
-    flags = np.zeros(len(keys), bool)
-    flags[order] = many[group_no]
-    edges = np.concatenate([[0], np.cumsum([r["n"] for r in rows])])
-    answers = [np.packbits(flags[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return pa.table({"seg": [r["seg"] for r in rows], "part": pa.array([r["part"] for r in rows], pa.int32()), "n": pa.array([r["n"] for r in rows], pa.int32()), "flags": pa.array(answers, pa.binary())})
+    return np.minimum(x[: len(x) - (width - w)], x[width - w :]) if w < width else x
 
 
-def _answers(messages: DataFrame) -> DataFrame:
-    """(seg, answers): for each segment the flags of its different keys, in order of value."""
-    flags = messages.groupBy("part").applyInArrow(_meet, "seg string, part int, n int, flags binary")
-    return flags.groupBy("seg").agg(F.sort_array(F.collect_list(F.struct("part", "n", "flags"))).alias("answers"))
+def anchors(data: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Rows (bucket, anchor, first, last): the positions first..last begin the strings that hold the anchor.
 
-
-def _flags(keys: np.ndarray, answers) -> np.ndarray:
-    """The answers for a segment's keys, in the order of the keys."""
-    if not len(keys):
-        return np.zeros(0, bool)
-    _, inverse = np.unique(keys, return_inverse=True)
-    return np.concatenate([np.unpackbits(np.frombuffer(a["flags"], np.uint8), count=a["n"]) for a in answers]).astype(bool)[inverse]
+    data is texts end to end. Of equal buckets in reach the leftmost is the anchor.
+    """
+    ends, out = np.cumsum(lens), []
+    for at in range(0, len(data) - LENGTH + 1, PIECE):
+        h = core_buckets(data[at : at + PIECE + LENGTH - 1])
+        x = h >> np.uint64(BITS) << np.uint64(BITS)
+        x |= np.arange(len(x), dtype=np.uint64)
+        where = (_slide(x, LENGTH - CORE + 1) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        p = np.arange(at, at + len(where))
+        ok = np.flatnonzero(ends[np.minimum(np.searchsorted(ends, p, "right"), len(ends) - 1)] - p >= LENGTH)
+        if len(ok):
+            cut = np.flatnonzero((np.diff(where[ok]) != 0) | (np.diff(ok) != 1)) + 1
+            first, last = ok[np.concatenate([[0], cut])], ok[np.append(cut, len(ok)) - 1]
+            a = where[first]
+            out.append(np.stack([h[a].view(np.int64), a + at, first + at, last + at]))
+    return np.concatenate(out, axis=1).T if out else np.zeros((0, 4), np.int64)
+
+
+def refined(data: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Bucket pointers of the 200-byte strings that begin at `where`: equal exactly for equal strings.
+
+    A pointer is the place of its bucket's first member in the sorted order, so
+    refining a bucket changes the pointers of its members only.
+    """
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(LENGTH, np.uint8)])
+    keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded[: n + 7], 8)).view(">u8").ravel().astype(np.uint64)
+    pointer = np.zeros(n + LENGTH, np.int64)
+    live = _sorted(pointer, np.arange(n), keys)
+    for step, q in enumerate(STEPS):
+        if step == len(STEPS) - 1:  # only the strings asked for need their whole length
+            wanted = np.zeros(n, bool)
+            wanted[where] = True
+            live = live[wanted[live]]
+        live = _sorted(pointer, live, pointer[live + q])
+    return pointer[where]
+
+
+def _sorted(pointer: np.ndarray, live: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Sorts each bucket of the live positions by keys, updates their pointers, gives those in buckets of several."""
+    if not len(live):
+        return live
+    old = pointer[live]
+    order = np.lexsort((keys, old)) if old.any() else np.argsort(keys, kind="stable")
+    old, keys, live = old[order], keys[order], live[order]
+    bucket = np.concatenate([[True], old[1:] != old[:-1]])
+    part = bucket | np.concatenate([[True], keys[1:] != keys[:-1]])
+    place = np.arange(len(live))
+    inside = place - np.maximum.accumulate(np.where(bucket, place, 0))
+    begin = np.flatnonzero(part)
+    sizes = np.diff(np.append(begin, len(live)))
+    pointer[live] = np.repeat((old + inside)[begin], sizes)
+    return live[np.repeat(sizes > 1, sizes)]
 
 
 def _segments(segment_bytes: int, ids: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, n, names, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
+        seg, names, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 raw = (text.as_py() or "").encode()
@@ -213,75 +152,161 @@ def _segments(segment_bytes: int, ids: pa.DataType):
                 texts.append(raw)
                 size += len(raw)
                 if size >= segment_bytes:
-                    yield make(task, n, names, texts)
-                    n, names, texts, size = n + 1, [], [], 0
+                    yield make(seg, names, texts)
+                    seg, names, texts, size = seg + 1, [], [], 0
         if names:
-            yield make(task, n, names, texts)
+            yield make(seg, names, texts)
 
-    def make(task, n, names, texts):
-        seg = f"{task}-{n}"
-        return pa.RecordBatch.from_arrays([pa.array([seg]), pa.array([names], pa.list_(ids)), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(texts), 3)], pa.binary())], ["seg", "ids", "lens", "blob"])
+    def make(seg, names, texts):
+        return pa.RecordBatch.from_arrays([pa.array([seg], pa.int64()), pa.array([names], pa.list_(ids)), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(texts), 3)], pa.binary())], ["seg", "ids", "lens", "blob"])
 
     return run
 
 
-def _anchor_messages(n_parts: int):
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                out = _messages(r["seg"], Segment(r["blob"], r["lens"]).anchor_keys(), n_parts)
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, _schema())
-
-    return run
-
-
-def _string_messages(n_parts: int):
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                s = Segment(r["blob"], r["lens"])
-                at = s.candidates(_flags(s.anchor_keys(), r["anchors"]))
-                out = _messages(r["seg"], s.full[at], n_parts) if len(at) else None
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, _schema())
-
-    return run
-
-
-def _schema() -> pa.Schema:
-    return pa.schema([("seg", pa.string()), ("part", pa.int32()), ("n", pa.int32()), ("numbers", pa.binary()), ("twice", pa.binary())])
+def _opened(lens: pa.Scalar, blob: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    lens = np.asarray(lens.values, np.int64)
+    n = int(lens.sum())
+    return lens, np.frombuffer(zstandard.decompress(blob.as_py(), max_output_size=n), np.uint8) if n else np.zeros(0, np.uint8)
+
+
+def _column(scalar: pa.Scalar, name: str) -> np.ndarray:
+    """A field of a list of structs."""
+    return np.asarray(scalar.values.field(name)) if scalar.is_valid else np.zeros(0, np.int64)
+
+
+def _rows(batches):
+    """Rows one by one, so that one segment at a time is open."""
+    for batch in batches:
+        yield from (tuple(c[i] for c in batch.columns) for i in range(batch.num_rows))
+
+
+def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seg, lens, blob) to (seg, bucket, n, at): a bucket's anchors in a segment, as anchor, hi, lo in one number."""
+    for seg, lens, blob in _rows(batches):
+        lens, data = _opened(lens, blob)
+        found = anchors(data, lens)
+        if not len(found):
+            continue
+        found = found[np.argsort(found[:, 0], kind="stable")]
+        begin = np.flatnonzero(np.diff(found[:, 0], prepend=found[0, 0] - 1))
+        at = found[:, 1] << 16 | (found[:, 1] - found[:, 2]) << 8 | (found[:, 1] - found[:, 3])
+        edges = np.append(begin, len(found)).astype(np.int32)
+        columns = [pa.array(np.full(len(begin), seg.as_py())), pa.array(found[begin, 0]), pa.array(np.diff(edges)), pa.ListArray.from_arrays(pa.array(edges), pa.array(at))]
+        yield pa.RecordBatch.from_arrays(columns, ["seg", "bucket", "n", "at"])
+
+
+def _find_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seg, lens, blob, live) to (seg, bucket, k1, k2, n, hi, lo, at): the classes of live anchors in a segment."""
+    import xxhash
+
+    for seg, lens, blob, live in _rows(batches):
+        _, data = _opened(lens, blob)
+        view, found = memoryview(data), {}
+        lists = live.values.field("at")
+        buckets = np.repeat(np.asarray(live.values.field("bucket")), np.asarray(lists.value_lengths()))
+        for bucket, x in zip(buckets.tolist(), lists.flatten().to_pylist(), strict=True):
+            a, hi, lo = x >> 16, x >> 8 & 255, x & 255
+            key = xxhash.xxh3_128_digest(view[a - hi : a - lo + LENGTH], hi)
+            if (row := found.get(key)) is None:
+                found[key] = (bucket, hi, lo, [a])
+            else:
+                row[3].append(a)
+        keys = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+        rows = list(found.values())
+        columns = [
+            pa.array(np.full(len(rows), seg.as_py())), pa.array([r[0] for r in rows], pa.int64()), pa.array(np.ascontiguousarray(keys[:, 0])), pa.array(np.ascontiguousarray(keys[:, 1])),
+            pa.array([len(r[3]) for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["seg", "bucket", "k1", "k2", "n", "hi", "lo", "at"])
+
+
+CLASSES = "seg long, bucket long, k1 long, k2 long, n int, hi int, lo int, at array<long>"
+TEXTS = "seg long, bucket long, m long, n_classes long, first long, text binary"
+
+
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seg, lens, blob, members) to the bytes that members of open buckets stand for."""
+    for seg, lens, blob, members in _rows(batches):
+        _, data = _opened(lens, blob)
+        view, (bucket, m, n, a, hi, lo) = memoryview(data), (_column(members, c) for c in ("bucket", "m", "n_classes", "a", "hi", "lo"))
+        first, texts = a - hi, [view[x:y].tobytes() for x, y in zip((a - hi).tolist(), (a - lo + LENGTH).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), seg.as_py())), pa.array(bucket), pa.array(m), pa.array(n), pa.array(first), pa.array(texts, pa.binary())], ["seg", "bucket", "m", "n_classes", "first", "text"])
+
+
+def _refine(group: pa.Table) -> pa.Table:
+    """Texts of some buckets, whole buckets each: the repeated runs of those that occur once, (seg, begin, end)."""
+    texts = [x.as_buffer() for x in group.column("text").combine_chunks()]
+    sizes = np.array([t.size for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts, n = np.cumsum(sizes) - sizes, sizes - LENGTH + 1
+    text = np.repeat(np.arange(len(texts)), n)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    pointers = refined(data, starts[text] + nth)
+    _, bucket, count = np.unique(pointers, return_inverse=True, return_counts=True)
+    m = np.asarray(group.column("m"))[text]
+    twice = count > 1
+    twice[bucket[m > 1]] = True
+    hit = np.flatnonzero(twice[bucket] & (m == 1))
+    if not len(hit):
+        return pa.table({"seg": pa.array([], pa.int64()), "begin": pa.array([], pa.int64()), "end": pa.array([], pa.int64())})
+    new = np.flatnonzero((np.diff(hit, prepend=-2) != 1) | (np.diff(text[hit], prepend=-1) != 0))
+    first, last = hit[new], hit[np.append(new[1:], len(hit)) - 1]
+    base = np.asarray(group.column("first"))[text[first]]
+    return pa.table({"seg": np.asarray(group.column("seg"))[text[first]], "begin": base + nth[first], "end": base + nth[last] + LENGTH})
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every string of the texts of large buckets by a 128-bit number: (seg, begin, m, s1, s2)."""
+    import xxhash
+
+    for seg, _, m, _, first, text in _rows(batches):
+        view = memoryview(text.as_buffer())
+        n = len(view) - LENGTH + 1
+        keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i : i + LENGTH]) for i in range(n)), "<i8").reshape(-1, 2)
+        columns = [np.full(n, seg.as_py()), np.arange(n) + first.as_py(), np.full(n, m.as_py()), np.ascontiguousarray(keys[:, 0]), np.ascontiguousarray(keys[:, 1])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["seg", "begin", "m", "s1", "s2"])
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _results(ids: pa.DataType, keep: bool):
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                s = Segment(r["blob"], r["lens"])
-                at = np.zeros(0, np.int64)
-                if r["strings"]:
-                    at = s.candidates(_flags(s.anchor_keys(), r["anchors"]))
-                    at = at[_flags(s.full[at], r["strings"])]
-                gone = s.removed(at) if len(at) else np.zeros(len(s.data), bool)
-                out = [[], [], [], []]
-                for a, n in zip(s.starts, s.lens, strict=True):
-                    mask = gone[a : a + n]
-                    edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)) if len(at) else []
-                    kept = s.data[a : a + n][~mask].tobytes()
-                    out[0].append(int(n))
-                    out[1].append([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)])
-                    out[2].append(hashlib.sha256(kept).hexdigest())
-                    out[3].append(kept if keep else None)
-                names = ["doc_id", "n_bytes", "spans", "kept_sha256", "kept"]
-                yield pa.RecordBatch.from_arrays([pa.array(r["ids"], ids), pa.array(out[0], pa.int64()), pa.array(out[1], SPANS), pa.array(out[2]), pa.array(out[3], pa.binary())], names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, lens, blob, gone in _rows(batches):
+            lens, data = _opened(lens, blob)
+            mark = np.zeros(len(data) + 1, np.int32)
+            np.add.at(mark, _column(gone, "begin"), 1)
+            np.add.at(mark, _column(gone, "end"), -1)
+            mask = np.cumsum(mark, dtype=np.int32)[:-1] > 0
+            out = [[], [], [], []]
+            for a, n in zip((np.cumsum(lens) - lens).tolist(), lens.tolist(), strict=True):
+                part = mask[a : a + n]
+                edge = np.flatnonzero(np.diff(part.astype(np.int8), prepend=0, append=0)).tolist() if part.any() else []
+                kept = data[a : a + n][~part].tobytes() if edge else data[a : a + n].tobytes()
+                out[0].append(n)
+                out[1].append([{"start": x, "end": y} for x, y in zip(edge[::2], edge[1::2], strict=True)])
+                out[2].append(hashlib.sha256(kept).hexdigest())
+                out[3].append(kept if keep else None)
+            yield pa.RecordBatch.from_arrays([names.values.cast(ids), pa.array(out[0], pa.int64()), pa.array(out[1], SPANS), pa.array(out[2]), pa.array(out[3], pa.binary())], ["doc_id", "n_bytes", "spans", "kept_sha256", "kept"])
 
     return run
 
 
-def find_repeats(docs: DataFrame, segment_bytes: int = 4 << 20, keys_per_part: int = 4_000_000, keep: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _bucketed(df: DataFrame, n: int) -> DataFrame:
+    """df, written to the shared folder in n buckets by seg; joins by seg leave it where it is.
+
+    Only a table can be bucketed, so there is one while it is read back; what
+    stays is a folder like those of table().
+    """
+    spark, name = df.sparkSession, f"gritmill_segments_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/gritmill-{spark.sparkContext.applicationId}/{name}"
+    df.repartition(n, "seg").write.option("compression", "none").option("path", path).bucketBy(n, "seg").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 1_000, keep: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256, kept): one row per input row.
 
     spans are the maximal runs of bytes covered by a 200-byte string that also
@@ -291,28 +316,44 @@ def find_repeats(docs: DataFrame, segment_bytes: int = 4 << 20, keys_per_part: i
     copies of each other and lose all they have from 200 bytes on. An empty
     table gives no rows.
 
-    Texts are packed into segments where they are read and written as a
-    bucketed table, so they are never shuffled; a text longer than
-    segment_bytes is a segment of its own.
+    Texts are packed into segments, shuffled once; a text longer than
+    segment_bytes is a segment of its own. Classes, and strings of buckets with
+    more than `split` classes, are told apart by 128-bit numbers: among 10^13
+    strings two different ones share a number with probability 1e-13.
     """
-    spark = docs.sparkSession
     docs = pick(docs, doc_id=id_col, text=text_col)
     kind = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
     ids = to_arrow_type(kind)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n_buckets = max(8, min(10_000, total // (64 << 20)))
-    name = f"gritmill_segments_{uuid.uuid4().hex}"
-    made = docs.mapInArrow(_segments(segment_bytes, ids), f"seg string, ids array<{kind.simpleString()}>, lens array<bigint>, blob binary")
-    made.write.option("compression", "none").bucketBy(n_buckets, "seg").saveAsTable(name)
-    segments = spark.table(name)
-    # anchors are about a fiftieth of the positions
-    anchors = table(_answers(segments.mapInArrow(_anchor_messages(max(8, total // 50 // keys_per_part)), MESSAGE)), "repeat-anchors")
-    known = segments.join(anchors.withColumnRenamed("answers", "anchors"), "seg")
-    strings = table(_answers(known.select("seg", "lens", "blob", "anchors").mapInArrow(_string_messages(max(8, total // 4 // keys_per_part)), MESSAGE)), "repeat-strings")
-    both = anchors.withColumnRenamed("answers", "anchors").join(strings.withColumnRenamed("answers", "strings"), "seg")
-    rows = segments.join(both, "seg", "left")
+    segments = _bucketed(docs.mapInArrow(_segments(segment_bytes, ids), f"seg long, ids array<{kind.simpleString()}>, lens array<long>, blob binary"), max(24, min(100_000, total // (32 << 20))))
+    found = table(segments.select("seg", "lens", "blob").mapInArrow(_find_anchors, "seg long, bucket long, n int, at array<long>"), "anchors")
+    lively = found.groupBy("bucket").agg(F.sum("n").alias("m")).where("m > 1").select("bucket")
+    live = found.join(lively, "bucket", "left_semi").groupBy("seg").agg(F.collect_list(F.struct("bucket", "at")).alias("live"))
+    members = table(segments.select("seg", "lens", "blob").join(live, "seg").mapInArrow(_find_classes, CLASSES), "bucket-members")
+    key = ["bucket", "k1", "k2"]
+    classes = table(members.groupBy(*key).agg(F.sum("n").alias("m"), F.min("seg").alias("seg")), "bucket-classes")
+    opened = classes.groupBy("bucket").agg(F.count("*").alias("n_classes"), F.min("m").alias("least")).where("n_classes > 1 AND least = 1").select("bucket", "n_classes")
+    opened = table(classes.join(opened, "bucket"), "open-classes")
+    n_open, most = opened.agg(F.count("*"), F.coalesce(F.max("n_classes"), F.lit(0))).first()
+    whole = members.join(classes.where("m > 1").select(*key), key, "left_semi")
+    spans = whole.select("seg", F.transform("at", lambda a: F.struct((a - F.col("hi")).alias("begin"), (a - F.col("lo") + LENGTH).alias("end"))).alias("spans"))
+    if n_open:
+        one = F.struct("bucket", "m", "n_classes", F.get("at", F.lit(0)).alias("a"), F.col("hi").cast("long").alias("hi"), F.col("lo").cast("long").alias("lo"))
+        lists = members.select("seg", *key, "hi", "lo", "at").join(opened, ["seg", *key]).groupBy("seg").agg(F.collect_list(one).alias("members"))
+        texts = segments.select("seg", "lens", "blob").join(lists, "seg").mapInArrow(_cut_texts, TEXTS)
+        texts = table(texts, "open-texts") if most > split else texts
+        part = F.pmod(F.xxhash64("bucket"), F.lit(-(-n_open // (2 * split))))
+        runs = texts.where(F.col("n_classes") <= split).groupBy(part).applyInArrow(_refine, "seg long, begin long, end long")
+        if most > split:
+            strings = table(texts.where(F.col("n_classes") > split).mapInArrow(_strings, "seg long, begin long, m long, s1 long, s2 long"), "bucket-strings")
+            twice = strings.groupBy("s1", "s2").agg(F.count("*").alias("n"), F.max("m").alias("most")).where("n > 1 OR most > 1").select("s1", "s2")
+            hits = strings.where("m = 1").join(twice, ["s1", "s2"], "left_semi")
+            runs = runs.unionByName(hits.select("seg", "begin", (F.col("begin") + LENGTH).alias("end")))
+        spans = spans.unionByName(runs.select("seg", F.array(F.struct("begin", "end")).alias("spans")))
+    gone = spans.groupBy("seg").agg(F.flatten(F.collect_list("spans")).alias("gone"))
+    rows = segments.join(gone, "seg", "left").select("ids", "lens", "blob", "gone")
     return rows.mapInArrow(_results(ids, keep), f"doc_id {kind.simpleString()}, n_bytes long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary")
 
 

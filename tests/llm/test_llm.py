@@ -359,8 +359,8 @@ def brute_repeats(texts):
     return out
 
 
-@pytest.mark.parametrize("segment_bytes", [1500, 4 << 20])
-def test_repeats_against_brute_force(spark, segment_bytes):
+@pytest.mark.parametrize("segment_bytes, split", [(1500, 2), (1500, 1000), (4 << 20, 3), (4 << 20, 1000)])
+def test_repeats_against_brute_force(spark, segment_bytes, split):
     import random
 
     rng = random.Random(8)
@@ -368,13 +368,47 @@ def test_repeats_against_brute_force(spark, segment_bytes):
     passage = " ".join(word() for _ in range(300))
     texts = [" ".join(word() for _ in range(rng.randrange(5, 300))) for _ in range(30)]
     texts += [texts[3] + passage[: rng.randrange(200, 600)] + texts[5][:50] for _ in range(6)] + [passage, "x" * 450, "x" * 199, "ab" * 150, texts[0], texts[0], None, ""]
-    rows = {r.doc_id: r for r in suffix_dedup.find_repeats(docs(spark, *texts), segment_bytes=segment_bytes, keys_per_part=2000, keep=True).collect()}
+    rows = {r.doc_id: r for r in suffix_dedup.find_repeats(docs(spark, *texts), segment_bytes=segment_bytes, split=split, keep=True).collect()}
     for i, want in enumerate(brute_repeats([(t or "").encode() for t in texts])):
         r = rows[i]
         assert (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), r.kept_sha256) == want
         assert hashlib.sha256(r.kept).hexdigest() == want[3]
 
 
+@pytest.mark.parametrize("split", [5, 1000])
+def test_a_passage_in_every_segment(spark, split):
+    import random
+
+    rng = random.Random(18)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(90))
+    texts = [" ".join(word() for _ in range(rng.randrange(60))) + passage[k % 3 :] + " ".join(word() for _ in range(rng.randrange(60))) for k in range(60)]
+    rows = {r.doc_id: r for r in suffix_dedup.find_repeats(docs(spark, *texts), segment_bytes=500, split=split).collect()}
+    for i, want in enumerate(brute_repeats([t.encode() for t in texts])):
+        assert (rows[i].n_bytes, sum(s.end - s.start for s in rows[i].spans), len(rows[i].spans), rows[i].kept_sha256) == want
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("gritmill")]
+
+
+def test_refined_pointers_name_strings():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    unit = rng.integers(97, 100, 300).astype(np.uint8)
+    data = np.concatenate([unit, unit[50:], rng.integers(97, 99, 400).astype(np.uint8), unit, np.full(300, 97, np.uint8)])
+    where = np.arange(len(data) - 199)
+    got = suffix_dedup.refined(data, where).tolist()
+    want = [data[i : i + 200].tobytes() for i in where]
+    assert len(set(got)) == len(set(want)) == len(set(zip(got, want, strict=True)))
+
+
+def test_long_texts_are_cut_into_pieces():
+    import numpy as np
+
+    data = np.random.default_rng(4).integers(97, 123, 3 * suffix_dedup.PIECE + 77).astype(np.uint8)
+    found = suffix_dedup.anchors(data, np.array([len(data)]))
+    assert sum(found[:, 3] - found[:, 2] + 1) == len(data) - 199 and (found[:, 1] - found[:, 2]).max() <= 100 and (found[:, 1] >= found[:, 3]).all()
+
+
 def test_repeats_of_the_test_table(spark):
     rows = {r.doc_id: r for r in suffix_dedup.op8_suffix_dedup(spark, SF).collect()}
     table = common.read(spark, SF, "documents").select("doc_id", "text").collect()
