@@ -128,7 +128,7 @@ def _sorted(pointer: np.ndarray, live: np.ndarray, keys: np.ndarray) -> np.ndarr
     if not len(live):
         return live
     old = pointer[live]
-    order = np.lexsort((keys, old)) if old.any() else np.argsort(keys, kind="stable")
+    order = np.argsort(old << 32 | keys if old.any() else keys)  # pointers are places in a group, below 2 ** 31
     old, keys, live = old[order], keys[order], live[order]
     bucket = np.concatenate([[True], old[1:] != old[:-1]])
     part = bucket | np.concatenate([[True], keys[1:] != keys[:-1]])
