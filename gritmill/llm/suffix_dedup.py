@@ -107,36 +107,37 @@ def refined(data: np.ndarray, where: np.ndarray) -> np.ndarray:
     """Bucket pointers of the 200-byte strings that begin at `where`: equal exactly for equal strings.
 
     A pointer is the place of its bucket's first member in the sorted order, so
-    refining a bucket changes the pointers of its members only.
+    refining a bucket changes the pointers of its members only. About 50 bytes
+    of memory a byte of data, which must be shorter than 2 ** 31.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(LENGTH, np.uint8)])
     keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded[: n + 7], 8)).view(">u8").ravel().astype(np.uint64)
-    pointer = np.zeros(n + LENGTH, np.int64)
-    live = _sorted(pointer, np.arange(n), keys)
+    pointer = np.zeros(n + LENGTH, np.int32)
+    order = np.argsort(keys).astype(np.int32)
+    keys = keys[order]
+    live = _renamed(pointer, order, np.zeros(n, bool), np.concatenate([[True], keys[1:] != keys[:-1]]))
+    del keys, order
     for step, q in enumerate(STEPS):
         if step == len(STEPS) - 1:  # only the strings asked for need their whole length
             wanted = np.zeros(n, bool)
             wanted[where] = True
             live = live[wanted[live]]
-        live = _sorted(pointer, live, pointer[live + q])
+        pairs = pointer[live].astype(np.int64) << 32 | pointer[live + q]
+        order = np.argsort(pairs)
+        pairs, live = pairs[order], live[order]
+        del order
+        live = _renamed(pointer, live, *(np.concatenate([[True], x[1:] != x[:-1]]) for x in ((pairs >> 32).astype(np.int32), pairs))) if len(live) else live
     return pointer[where]
 
 
-def _sorted(pointer: np.ndarray, live: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Sorts each bucket of the live positions by keys, updates their pointers, gives those in buckets of several."""
-    if not len(live):
-        return live
-    old = pointer[live]
-    order = np.argsort(old << 32 | keys if old.any() else keys)  # pointers are places in a group, below 2 ** 31
-    old, keys, live = old[order], keys[order], live[order]
-    bucket = np.concatenate([[True], old[1:] != old[:-1]])
-    part = bucket | np.concatenate([[True], keys[1:] != keys[:-1]])
-    place = np.arange(len(live))
-    inside = place - np.maximum.accumulate(np.where(bucket, place, 0))
+def _renamed(pointer: np.ndarray, live: np.ndarray, bucket: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Updates the pointers of live positions in sorted order, given where old buckets and their parts begin; those in parts of several."""
     begin = np.flatnonzero(part)
     sizes = np.diff(np.append(begin, len(live)))
-    pointer[live] = np.repeat((old + inside)[begin], sizes)
+    first = np.flatnonzero(bucket) if bucket.any() else np.zeros(1, np.int64)
+    inside = begin - first[np.searchsorted(first, begin, "right") - 1]
+    pointer[live] = np.repeat(pointer[live[begin]] + inside, sizes)
     return live[np.repeat(sizes > 1, sizes)]
 
 
@@ -306,7 +307,7 @@ def _bucketed(df: DataFrame, n: int) -> DataFrame:
     return out
 
 
-def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 1_000, keep: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 10_000, keep: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256, kept): one row per input row.
 
     spans are the maximal runs of bytes covered by a 200-byte string that also
@@ -327,24 +328,26 @@ def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 1_0
 
     ids = to_arrow_type(kind)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    segments = _bucketed(docs.mapInArrow(_segments(segment_bytes, ids), f"seg long, ids array<{kind.simpleString()}>, lens array<long>, blob binary"), max(24, min(100_000, total // (32 << 20))))
+    n_parts = max(24, min(100_000, total // (16 << 20)))
+    segments = _bucketed(docs.mapInArrow(_segments(segment_bytes, ids), f"seg long, ids array<{kind.simpleString()}>, lens array<long>, blob binary"), n_parts)
+    by_seg = lambda df, name, what: df.repartition(n_parts, "seg").groupBy("seg").agg(what.alias(name))  # noqa: E731  as the segments lie
     found = table(segments.select("seg", "lens", "blob").mapInArrow(_find_anchors, "seg long, bucket long, n int, at array<long>"), "anchors")
     lively = found.groupBy("bucket").agg(F.sum("n").alias("m")).where("m > 1").select("bucket")
-    live = found.join(lively, "bucket", "left_semi").groupBy("seg").agg(F.collect_list(F.struct("bucket", "at")).alias("live"))
+    live = by_seg(found.join(lively, "bucket", "left_semi"), "live", F.collect_list(F.struct("bucket", "at")))
     members = table(segments.select("seg", "lens", "blob").join(live, "seg").mapInArrow(_find_classes, CLASSES), "bucket-members")
     key = ["bucket", "k1", "k2"]
-    classes = table(members.groupBy(*key).agg(F.sum("n").alias("m"), F.min("seg").alias("seg")), "bucket-classes")
+    one = [F.sum("n").alias("m"), F.min("seg").alias("seg"), F.min_by(F.get("at", F.lit(0)), "seg").alias("a"), *(F.min(F.col(c).cast("long")).alias(c) for c in ("hi", "lo"))]
+    classes = table(members.groupBy(*key).agg(*one), "bucket-classes")
     opened = classes.groupBy("bucket").agg(F.count("*").alias("n_classes"), F.min("m").alias("least")).where("n_classes > 1 AND least = 1").select("bucket", "n_classes")
-    opened = table(classes.join(opened, "bucket"), "open-classes")
+    opened = table(classes.join(opened, "bucket").select("seg", "bucket", "m", "n_classes", "a", "hi", "lo"), "open-classes")
     n_open, most = opened.agg(F.count("*"), F.coalesce(F.max("n_classes"), F.lit(0))).first()
     whole = members.join(classes.where("m > 1").select(*key), key, "left_semi")
     spans = whole.select("seg", F.transform("at", lambda a: F.struct((a - F.col("hi")).alias("begin"), (a - F.col("lo") + LENGTH).alias("end"))).alias("spans"))
     if n_open:
-        one = F.struct("bucket", "m", "n_classes", F.get("at", F.lit(0)).alias("a"), F.col("hi").cast("long").alias("hi"), F.col("lo").cast("long").alias("lo"))
-        lists = members.select("seg", *key, "hi", "lo", "at").join(opened, ["seg", *key]).groupBy("seg").agg(F.collect_list(one).alias("members"))
+        lists = by_seg(opened, "members", F.collect_list(F.struct("bucket", "m", "n_classes", "a", "hi", "lo")))
         texts = segments.select("seg", "lens", "blob").join(lists, "seg").mapInArrow(_cut_texts, TEXTS)
         texts = table(texts, "open-texts") if most > split else texts
-        part = F.pmod(F.xxhash64("bucket"), F.lit(-(-n_open // (2 * split))))
+        part = F.pmod(F.xxhash64("bucket"), F.lit(max(1, 2 * n_open // split)))
         runs = texts.where(F.col("n_classes") <= split).groupBy(part).applyInArrow(_refine, "seg long, begin long, end long")
         if most > split:
             strings = table(texts.where(F.col("n_classes") > split).mapInArrow(_strings, "seg long, begin long, m long, s1 long, s2 long"), "bucket-strings")
@@ -352,8 +355,7 @@ def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 1_0
             hits = strings.where("m = 1").join(twice, ["s1", "s2"], "left_semi")
             runs = runs.unionByName(hits.select("seg", "begin", (F.col("begin") + LENGTH).alias("end")))
         spans = spans.unionByName(runs.select("seg", F.array(F.struct("begin", "end")).alias("spans")))
-    gone = spans.groupBy("seg").agg(F.flatten(F.collect_list("spans")).alias("gone"))
-    rows = segments.join(gone, "seg", "left").select("ids", "lens", "blob", "gone")
+    rows = segments.join(by_seg(spans, "gone", F.flatten(F.collect_list("spans"))), "seg", "left").select("ids", "lens", "blob", "gone")
     return rows.mapInArrow(_results(ids, keep), f"doc_id {kind.simpleString()}, n_bytes long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary")
 
 
