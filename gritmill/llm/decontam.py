@@ -7,7 +7,10 @@ that form lead back to word numbers and, for the spans, to the original text.
 from __future__ import annotations
 
 import re
+import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,30 +37,42 @@ def windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id", text_
     return items.select("item_id", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, size), " "))).alias("window")).distinct()
 
 
-def _search(patterns: list[tuple[str, list[str]]]):
-    """A function for mapInArrow over rows whose last column is the text: words, hits and items take its place."""
+_BUILT: dict = {}
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
 
+def _automaton(token: str, patterns):
+    """The automaton over broadcast windows, built once a worker; None if there are no windows."""
+    import ahocorasick
+
+    if token not in _BUILT:
         auto = ahocorasick.Automaton()
-        for window, items in patterns:
+        for window, items in patterns.value:
             key = f" {window} ".encode().decode("latin-1")
             auto.add_word(key, (len(key), window.count(" ") + 1, items))
-        if patterns:
+        if len(auto):
             auto.make_automaton()
+        _BUILT.clear()
+        _BUILT[token] = auto if len(auto) else None
+    return _BUILT[token]
+
+
+def _search(spark, patterns: list[tuple[str, list[str]]]):
+    """A function for mapInArrow over rows whose last column is the text: words, hits and items take its place."""
+    token, patterns = uuid.uuid4().hex, spark.sparkContext.broadcast(patterns)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        auto = _automaton(token, patterns)
         for batch in batches:
             out = [[], [], [], [], []]
             for text in batch.column(batch.num_columns - 1):
                 raw = text.as_py() or ""
                 words = raw.encode().translate(TO_WORDS).split()
                 plain = (b" " + b" ".join(words) + b" ").decode("latin-1")
-                spans, named, at, n = [], set(), 0, 0
-                for end, (length, count, items) in auto.iter(plain) if patterns else ():
-                    begin = end - length + 1
-                    # Spaces before it: the number of its first word. Matches come by their ends, so a longer one may begin earlier.
-                    n += plain.count(" ", at, begin) if begin >= at else -plain.count(" ", begin, at)
-                    at = begin
+                spans, named, starts = [], set(), None
+                for end, (length, count, items) in auto.iter(plain) if auto else ():
+                    if starts is None:  # where each word's space stands
+                        starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+                    n = bisect_left(starts, end - length + 1)
                     spans.append((n, n + count))
                     named.update(items)
                 merged = []
@@ -109,7 +124,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = 10, max_wi
 def _find(rows: DataFrame, found: DataFrame) -> DataFrame:
     patterns = [(r.window, r.ids) for r in found.groupBy("window").agg(F.array_compact(F.collect_set("item_id")).alias("ids")).collect()]
     added = StructType(rows.schema.fields[:-1] + StructType.fromDDL(ADDED).fields)
-    return rows.mapInArrow(_search(patterns), added)
+    return rows.mapInArrow(_search(rows.sparkSession, patterns), added)
 
 
 def _find_in_blocks(rows: DataFrame, found: DataFrame, n_blocks: int) -> DataFrame:
