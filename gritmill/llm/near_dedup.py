@@ -210,7 +210,7 @@ def private_shingles(nodes: DataFrame, docs: DataFrame, size: int, broadcast_row
     """
     kind = nodes.schema["rep"].dataType.simpleString()
     ids = F.broadcast(nodes) if nodes.count() <= broadcast_rows else nodes
-    texts = docs.join(ids, docs.doc_id == ids.rep, "left_semi").dropDuplicates(["doc_id"])
+    texts = docs.join(ids, docs.doc_id == ids.rep, "left_semi")
     sets = texts.select("doc_id", "text").mapInArrow(_hash_sets(size), f"rep {kind}, toks array<long>").join(ids, "rep")
     toks = sets.select("rep", "comp", F.explode("toks").alias("tok"))
     private = toks.groupBy("tok").agg(F.min("comp").alias("comp"), F.max("comp").alias("c2"), F.min("rep").alias("rep"), F.count("*").alias("m")).where("comp = c2")
@@ -225,7 +225,6 @@ def _with_texts(pairs: DataFrame, n: int, docs: DataFrame, broadcast_rows: int)
     ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     ends = table(ends, "pair-ends", rows=2 * n)
     texts = docs.join(F.broadcast(ends) if ends.count() <= broadcast_rows else ends, "doc_id", "left_semi")
-    texts = texts.dropDuplicates(["doc_id"])
     return pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
 
 
@@ -341,9 +340,39 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, broadcast
     are kept, with a null component. Rows that share an id count as one
     document; if their texts differ, links of any of them join all. An empty
     table gives no rows. Ids to look up are broadcast if counted at most
-    broadcast_rows, else joined by a shuffle.
+    broadcast_rows, else joined by a shuffle. Sets are sets of 64-bit hashes;
+    those of one size are equal if two 64-bit digests of them are, which
+    different sets of 10^10 documents are with a chance of 1e-19.
     """
     docs = pick(docs, doc_id=id_col, text=text_col)
+    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1").isEmpty():
+        return _near_duplicates(docs, size, percent, broadcast_rows)
+    return _repeated_ids(docs, size, percent, broadcast_rows)
+
+
+def _repeated_ids(docs: DataFrame, size: int, percent: int, broadcast_rows: int) -> DataFrame:
+    """near_duplicates where ids repeat: rows are named by id and text, and names that share an id are tied afterwards."""
+    name = F.when(F.col("doc_id").isNotNull(), F.concat_ws(":", F.col("doc_id").cast("string"), F.sha2(F.coalesce("text", F.lit("")), 256)))
+    named = table(docs.withColumn("name", name), "named-rows")
+    once = named.where(F.col("name").isNotNull()).dropDuplicates(["name"]).select(F.col("name").alias("doc_id"), "text")
+    found = table(_near_duplicates(once, size, percent, broadcast_rows).select(F.col("doc_id").alias("name"), "n_shingles", "component_id"), "named-components")
+    rows = named.select("doc_id", "name").join(found, "name", "left")
+    # An id's components are tied to the first of them; rows without words have none of their own.
+    own = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    first = own.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    ties = components(table(own.join(first, "doc_id").where("a <> component_id").select("a", F.col("component_id").alias("b")).distinct(), "id-ties"))
+    tied = rows.join(ties, F.col("component_id") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "component_id")).drop("node")
+    least = tied.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least")).withColumnRenamed("comp", "comp2")
+    out = tied.join(least, F.expr("n_shingles > 0 AND comp = comp2"), "left")
+    comp = F.coalesce("least", "doc_id")
+    lone = named.where(F.col("name").isNull()).select("doc_id", "text").mapInArrow(_signatures(size, percent / 100), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, d1 long, d2 long, regs binary, bands array<long>")
+    lone = lone.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.where(F.col("doc_id").isNotNull()).select("doc_id", "n_shingles", comp.alias("component_id"), (F.col("doc_id") == comp).alias("kept")).unionByName(lone)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int, broadcast_rows: int) -> DataFrame:
+    """near_duplicates of docs(doc_id, text) whose ids do not repeat."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     sets = table(docs.mapInArrow(_signatures(size, percent / 100), f"doc_id {kind}, n long, d1 long, d2 long, regs binary, bands array<long>"), "signatures")
     key = ["n", "d1", "d2"]
@@ -368,7 +397,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, broadcast
     for salt in (1, 2, None):
         of = members.join(comps, members.rep == comps.node, "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
         split = of.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("n").alias("n_least")).where("c1 <> c2").select("key", "n_least")
-        still = table(of.join(split, "key"), "split-buckets")
+        # A table of its own: the join then has nothing after it by key, so that a bucket of very many members can be split.
+        still = table(of.join(table(split, "split-keys"), "key"), "split-buckets")
         if own is None:  # components only grow, so what is private now stays so for pairs still apart
             own = table(private_shingles(table(still.select("rep", "comp").distinct(), "split-nodes"), docs, size, broadcast_rows), "own-shingles")
         # At most `most` shingles are shared with any other component; the partner has n_least or more.
@@ -388,12 +418,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, broadcast
         for find in (close_pairs, lambda df: differing_alike(df, percent)):
             named = diffs.join(comps, diffs.rep == comps.node, "left").withColumn("comp", F.coalesce("comp", "rep")).drop("node")
             join_up(find(named))
-    same = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", *key).join(classes.select(*key, "rep"), key).select("doc_id", "rep").distinct()
-    # Rows that share an id tie their classes together.
-    ties = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("doc_id")
-    ties = table(same.join(ties, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "id-ties")
-    if not ties.isEmpty():
-        comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(ties))
     named = classes.select(*key, "rep").join(comps, F.col("rep") == F.col("node"), "left").select(*(F.col(c).alias(f"k_{c}") for c in key), F.coalesce("comp", "rep").alias("component_id"))
     out = sets.select("doc_id", *key).join(named, F.expr("n > 0 AND doc_id IS NOT NULL AND n = k_n AND d1 = k_d1 AND d2 = k_d2"), "left")
     comp = F.coalesce("component_id", "doc_id")

@@ -277,6 +277,18 @@ def test_rows_with_one_id_are_one_document(spark):
     assert {r.component_id for r in rows} == {5}
 
 
+def test_one_id_with_other_texts_in_any_order(spark):
+    """5 has a text near that of 9, and 5 another that is no copy; 5 and 7 share a third text, null and empty ones link nothing."""
+    from itertools import permutations
+
+    near = LONG % 2 * 5
+    rows = [(5, "u v w " + LONG % 1 * 3), (5, near + "tail one"), (9, near + "tail two"), (7, "u v w " + LONG % 1 * 3), (5, None), (4, ""), (4, ""), (None, near), (None, None)]
+    for k, order in enumerate(permutations(rows[:3])):
+        mixed = [*order, *rows[3:]] if k % 2 else [*rows[3:], *order]
+        out = near_dedup.near_duplicates(docs(spark, *(t for _, t in mixed), ids=[i for i, _ in mixed]), 3, 85).collect()
+        assert Counter((r.doc_id, r.component_id, r.kept) for r in out) == Counter({(5, 5, True): 3, (9, 5, False): 1, (7, 5, False): 1, (4, 4, True): 2, (None, None, True): 2})
+
+
 def test_estimates_are_near_the_truth():
     import numpy as np
 
