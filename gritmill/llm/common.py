@@ -63,6 +63,21 @@ def table(df: DataFrame, name: str, partition_by: str | None = None, rows: int |
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, n: int, *by: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """df, written to the shared folder in n buckets and read again: joins of such tables by these columns need no exchange.
+
+    Only a table can be bucketed, so there is one while it is read back; what
+    stays is a folder like those of table().
+    """
+    spark, unique = df.sparkSession, f"gritmill_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/gritmill-{spark.sparkContext.applicationId}/{unique}"
+    writer = df.repartition(n, *by).write.option("compression", "zstd").option("path", path).bucketBy(n, *by)
+    (writer.sortBy(*order) if order else writer).saveAsTable(unique)
+    out = spark.table(unique)
+    spark.sql(f"DROP TABLE {unique}")
+    return out
+
+
 def clear_tables(spark: SparkSession) -> None:
     """Removes every table that this application wrote with table()."""
     jvm = spark.sparkContext._jvm

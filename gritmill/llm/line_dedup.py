@@ -4,6 +4,9 @@ A batch of documents first becomes a memtable (line hash, number of documents).
 It is merge-anti-joined with the entries of the runs that have reached the
 threshold already, and what is left is added as a sorted run of level 0. When a
 level holds `fanout` runs they are merged into one run of the next level.
+
+Runs are bucketed and sorted by line hash, all in as many buckets: a batch is
+shuffled once to meet them, and runs meet each other where they lie.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, ascii_lower, position, read, row_key, table
+from .common import WS_CHARS, ascii_lower, bucketed, position, read, row_key, table
 
 KEY = ["h1", "h2"]
 
@@ -42,41 +45,50 @@ def memtables(docs: DataFrame, n_batches: int) -> DataFrame:
 class LineRuns:
     """Sorted runs of (h1, h2, n) by level; n is a count of documents."""
 
-    def __init__(self, min_docs: int, fanout: int = 4):
-        self.min_docs, self.fanout = min_docs, fanout
+    def __init__(self, min_docs: int, fanout: int = 4, n_buckets: int = 8):
+        self.min_docs, self.fanout, self.n_buckets = min_docs, fanout, n_buckets
         self.levels: list[list[DataFrame]] = [[]]
 
     def add(self, memtable: DataFrame) -> None:
         """One batch: lines that a run already holds often enough need no more counting."""
+        memtable = memtable.select(*KEY, "n").repartition(self.n_buckets, *KEY)
         for run in (r for level in self.levels for r in level):
             known = run.where(F.col("n") >= self.min_docs).select(*KEY)
-            memtable = memtable.join(known, KEY, "left_anti")
-        self.levels[0].append(table(memtable.select(*KEY, "n").sortWithinPartitions(*KEY), "line-run-0"))
+            memtable = memtable.join(known.hint("merge"), KEY, "left_anti")
+        self.levels[0].append(self._run(memtable, 0))
         self._compact()
 
+    def _run(self, rows: DataFrame, level: int) -> DataFrame:
+        return bucketed(rows, f"line-run-{level}", self.n_buckets, *KEY, order=tuple(KEY))
+
     def _compact(self) -> None:
         for k, level in enumerate(self.levels):
             if len(level) < self.fanout:
                 break
             if k + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[k + 1].append(table(self._merged(level).sortWithinPartitions(*KEY), f"line-run-{k + 1}"))
+            self.levels[k + 1].append(self._run(self._merged(level), k + 1))
             self.levels[k] = []
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy(*KEY).agg(F.sum("n").alias("n"))
+        """The runs merged by hash, bucket by bucket.
+
+        The filter, always true, makes the scans give rows: of columnar scans the union (Spark 4.1) keeps the buckets'
+        partitioning by name only and would put equal hashes into different tasks.
+        """
+        return reduce(DataFrame.unionByName, [r.where(F.col("n") > 0) for r in runs]).groupBy(*KEY).agg(F.sum("n").alias("n"))
 
     def frequent(self) -> DataFrame:
-        runs = [r for level in self.levels for r in level]
-        merged = self._merged(runs) if len(runs) > 1 else runs[0]
+        merged = self._merged([r for level in self.levels for r in level])
         return merged.where(F.col("n") >= self.min_docs).select(*KEY)
 
 
-def build_runs(docs: DataFrame, min_docs: int, n_batches: int = 4, fanout: int = 4) -> LineRuns:
+def build_runs(docs: DataFrame, min_docs: int, n_batches: int = 4, fanout: int = 4, lines_per_bucket: int = 2_000_000) -> LineRuns:
     """Runs over docs(doc_id, text); one scan makes the memtables of all batches."""
-    runs, memory = LineRuns(min_docs, fanout), table(memtables(docs, n_batches), "line-memtables", "batch")
+    memory = table(memtables(docs, n_batches), "line-memtables", "batch")
+    runs = LineRuns(min_docs, fanout, max(8, -(-memory.count() // lines_per_bucket)))
     for b in range(n_batches):
-        runs.add(memory.where(F.col("batch") == b).drop("batch"))
+        runs.add(memory.where(F.col("batch") == b))
     return runs
 
 

@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, read, shared_dir, table
+from .common import bucketed, pick, read, table
 
 START, CORE, LENGTH = 25, 100, 200
 _MUL, _MUL2, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), 0xD6E8FEB86659FD93
@@ -293,20 +292,6 @@ def _results(ids: pa.DataType, keep: bool):
     return run
 
 
-def _bucketed(df: DataFrame, n: int) -> DataFrame:
-    """df, written to the shared folder in n buckets by seg; joins by seg leave it where it is.
-
-    Only a table can be bucketed, so there is one while it is read back; what
-    stays is a folder like those of table().
-    """
-    spark, name = df.sparkSession, f"gritmill_segments_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark)}/gritmill-{spark.sparkContext.applicationId}/{name}"
-    df.repartition(n, "seg").write.option("compression", "none").option("path", path).bucketBy(n, "seg").saveAsTable(name)
-    out = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return out
-
-
 def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 10_000, keep: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256, kept): one row per input row.
 
@@ -329,7 +314,7 @@ def find_repeats(docs: DataFrame, segment_bytes: int = 1 << 20, split: int = 10_
     ids = to_arrow_type(kind)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_parts = max(24, min(100_000, total // (16 << 20)))
-    segments = _bucketed(docs.mapInArrow(_segments(segment_bytes, ids), f"seg long, ids array<{kind.simpleString()}>, lens array<long>, blob binary"), n_parts)
+    segments = bucketed(docs.mapInArrow(_segments(segment_bytes, ids), f"seg long, ids array<{kind.simpleString()}>, lens array<long>, blob binary"), "segments", n_parts, "seg")
     by_seg = lambda df, name, what: df.repartition(n_parts, "seg").groupBy("seg").agg(what.alias(name))  # noqa: E731  as the segments lie
     found = table(segments.select("seg", "lens", "blob").mapInArrow(_find_anchors, "seg long, bucket long, n int, at array<long>"), "anchors")
     lively = found.groupBy("bucket").agg(F.sum("n").alias("m")).where("m > 1").select("bucket")
