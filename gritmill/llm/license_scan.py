@@ -29,7 +29,7 @@ TEMPLATES = [
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("reserved", "All rights reserved"),
 ]

@@ -79,6 +79,14 @@ def test_runs_compact_and_agree_with_one_batch(spark):
     assert [len(level) for level in line_dedup.build_runs(common.pick(many, doc_id="doc_id", text="text"), 10, 5, 2).levels] == [1, 0, 1]
 
 
+def test_runs_meet_where_they_lie(spark):
+    many = common.pick(docs(spark, *(f"a{i % 7}\nb{i % 5}\nc{i}" for i in range(60))), doc_id="doc_id", text="text")
+    runs = line_dedup.build_runs(many, 10, 3, 4)
+    merged = runs._merged(runs.levels[0])
+    assert len(runs.levels[0]) == 3 and "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 72 and runs.frequent().count() == 5  # a0 to a6 are in eight or nine documents, b0 to b4 in twelve
+
+
 def test_toxicity_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     x, labels = common.read(spark, d, "documents"), common.read(spark, d, "labels")
@@ -114,6 +122,22 @@ def test_quality_counts(spark):
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
 
 
+def test_quality_sql_on_odd_rows(spark, tmp_path):
+    """Blank lines, repeated lines, null languages and texts, words that the reference lacks."""
+    import duckdb
+    import pandas as pd
+
+    plain = ["The cat of the house and the dog in the garden is that it was %d for.\n \n\n\t\n" % i * 4 + " ".join(f"x{i}y{j}" for j in range(90)) for i in range(14)]
+    rows = [(i, t, "en") for i, t in enumerate(plain)] + [(20, "a\n \n\t\nb", None), (21, None, "en"), (22, "", None), (23, "der die das " * 50, "de"), (24, "%%% ### &&& $$$ " * 40, "en"), (25, " ".join(f"und w{i}" for i in range(60)), None), (26, " ".join(f"und $w{i}" for i in range(60)), "en")]
+    pd.DataFrame(rows, columns=["doc_id", "text", "lang"]).to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    got = quality.op3_quality_rules(spark, str(tmp_path)).toPandas()
+    assert rows_of(got) == rows_of(con.sql(quality.op3_sql()).df())
+    by_id = got.set_index("doc_id")
+    assert by_id.n_dup_lines[20] == 0 and by_id.n_dup_lines[0] == 3 and not by_id.kept[24] and by_id.class_distance.isna()[23] and by_id.kept[25]
+
+
 def test_quality_divergence(spark):
     plain = ["The cat of the house and the dog in the garden is that it was %d for. " % i * 12 for i in range(30)]
     out = {r.doc_id: r for r in quality.judge_quality(docs(spark, *plain, "%%% ### &&& $$$ *** " * 40)).collect()}
