@@ -201,9 +201,6 @@ def main_subtree(root: Node) -> Node:
     path = [best]
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
-    for n in path:  # the article that holds the densest subtree
-        if n.tag in MAIN:
-            return n
     threshold = min((n.density for n in path if n.density > 0), default=0.0)
     for n in path[1:]:
         # Up to a container, and on while what stands beside it is as dense as the path.

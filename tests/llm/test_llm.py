@@ -3,6 +3,7 @@ import html
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -434,6 +435,100 @@ def test_wrappers_and_comments(source, want):
     assert html_extract.main_text(source) == want
 
 
+class PlainTree(HTMLParser):
+    """A tree of [tag, children] from well-formed markup."""
+
+    def __init__(self):
+        super().__init__()
+        self.open = [["#root", []]]
+
+    def handle_starttag(self, tag, attrs):
+        self.open[-1][1].append([tag, []])
+        self.open.append(self.open[-1][1][-1])
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        self.open[-1][1].append(data)
+
+
+def plain_main_text(source):
+    """Composite text density by its definition, every count taken anew from the subtree; pages without class names and forms."""
+    import math
+
+    tree = PlainTree()
+    tree.feed(source)
+    inner = lambda n: [x for x in n[1] if not isinstance(x, str)]
+    below = lambda n: [y for x in inner(n) for y in (x, *below(x))]
+    chars = lambda n: sum(len("".join(x.split())) if isinstance(x, str) else chars(x) for x in n[1])
+    body = next(n for n in below(tree.open[0]) if n[0] == "body")
+
+    def links(n):
+        return (chars(n), 1 + sum(x[0] == "a" for x in below(n))) if n[0] == "a" else tuple(sum(v) for v in zip((0, 0), *map(links, inner(n)), strict=True))
+
+    def density(n):
+        c, t, (lc, lt) = chars(n), max(1, len(below(n))), links(n)
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - lc) * lc + links(body)[0] / max(1, chars(body)) * c + math.e)
+        ratio = c / max(1, lc) * t / max(1, lt)
+        return c / t * (math.log(max(ratio, 1.0) + 1e-9) / math.log(max(base, 1.0) + 1.0) + (0.0 if lc == c else 1e-6))
+
+    def total(n):
+        own = density(n) if any(isinstance(x, str) and x.strip() for x in n[1]) else 0.0
+        return max(sum(map(density, inner(n))), own)
+
+    level, nodes = [body], []
+    while level:
+        nodes += level
+        level = [x for n in level for x in inner(n)]
+    best = max(nodes, key=total)
+    path = [best]
+    while path[-1] is not body:
+        path.append(next(n for n in nodes if any(x is path[-1] for x in n[1])))
+    threshold = min((density(n) for n in path if density(n) > 0), default=0.0)
+    for n in path[1:]:
+        beside = [x for x in inner(n) if x is not best and chars(x)]
+        dense = sum(chars(x) for x in beside if density(x) >= threshold and links(x)[0] < 0.5 * chars(x))
+        if best[0] in ("div", "section", "body") and dense < 0.2 * max(1, chars(best)) and not any(x[0] in ("h1", "h2") for x in beside):
+            break
+        best = n
+    flat = lambda n: "".join(x if isinstance(x, str) else flat(x) if x[0] in ("a", "b") else f" {flat(x)} " for x in n[1])
+    return " ".join(flat(best).split())
+
+
+def test_density_against_its_definition():
+    import random
+
+    rng = random.Random(7)
+    text = lambda n: " ".join("w" * rng.randrange(1, 9) for _ in range(rng.randrange(n)))
+
+    def node(depth):
+        if depth == 0 or rng.random() < 0.3:
+            link = f"<a>{text(6)}</a>" if rng.random() < 0.4 else ""
+            return f"<{(t := rng.choice(('p', 'h2', 'p')))}>{text(rng.choice((3, 40)))} {link}<b>{text(3)}</b></{t}>"
+        t = rng.choice(("div", "section", "div"))
+        return f"<{t}>" + "".join(node(depth - 1) for _ in range(rng.randrange(1, 5))) + f"</{t}>"
+
+    chosen = set()
+    for _ in range(300):
+        page = "<html><body>" + "".join(node(3) for _ in range(rng.randrange(1, 4))) + "</body></html>"
+        want = plain_main_text(page)
+        assert html_extract.main_text(page) == want, page
+        chosen.add(len(want) < len(" ".join(re.sub("<[^>]*>", " ", page).split())))
+    assert chosen == {True, False}
+
+
+def test_long_broken_and_clashing_pages(spark):
+    long = "<div>" * 3000 + "<p>" + "word " * 200_000 + "<p>more" + "<b>" * 2000
+    broken = '<body><div class="post"' + f"><p>{TOLD}<p class='x>{TOLD}"
+    rows = [(1, "u", long, "x", 1, "x"), (2, "u", broken, "x", 1, "x"), (3, None, "<" * 5000, "x", 1, "x"), (4, "u", "\x00<p>\x00", "x", 1, "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, PAGE_ID string, text int, HTML string")
+    out = {r.page_id: r.text for r in html_extract.extract_text(df).collect()}
+    assert out[1].count("word") == 200_000 and out[1].endswith("more") and TOLD in out[2] and set(out) == {1, 2, 3, 4}
+
+
 def test_pages_of_the_test_table(spark):
     rows = common.read(spark, SF, "pages").select("page_id", "html").collect()
     got = {r.page_id: r.text for r in html_extract.extract_text(common.read(spark, SF, "pages")).collect()}
