@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Protocol
@@ -96,23 +97,27 @@ def call_with_retry(items: list[dict], call: Callable[[list[dict]], list[dict]],
 RESULT = "item_id string, llm_label string, llm_confidence double, llm_reason string, llm_ok boolean, llm_error string, llm_in_scope boolean, llm_reject_reason string, llm_called boolean, llm_finished_at string, seq bigint"
 
 
-def classify_external(pending: DataFrame, classifier: Classifier, batch: int = 16, policy: RetryPolicy = RetryPolicy(), bisect: bool = True, labels: tuple[str, ...] = LABELS, strict: bool = False, concurrency: int | None = None, sleep=time.sleep) -> DataFrame:
+def classify_external(pending: DataFrame, classifier: Classifier, batch: int = 16, policy: RetryPolicy = RetryPolicy(), bisect: bool = True, labels: tuple[str, ...] = LABELS, strict: bool = False, concurrency: int | None = None, in_flight: int = 1, prompt: Column | None = None, sleep=time.sleep) -> DataFrame:
     """pending(item_id, text, ...) to one result row an item; seq orders the rows of one run.
 
     batch=1 with strict=True is the careful form, larger batches with bisect the
-    fast one. concurrency limits partitions and with them calls in flight.
+    fast one. concurrency limits partitions, in_flight the calls that one of
+    them has open at a time. With prompt, items carry it as 'prompt'.
     """
     source = pending if concurrency is None else pending.repartition(concurrency)
     base = source.withColumn("__seq", F.monotonically_increasing_id())
+    base = base if prompt is None else base.withColumn("prompt", prompt)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = frame.to_dict("records")
-            for at in range(0, len(rows), batch):
-                items = rows[at : at + batch]
-                out = call_with_retry(items, lambda xs: check_answers(xs, classifier.classify(xs), labels, strict), policy, bisect, sleep)
-                now = datetime.now().isoformat(timespec="seconds")
-                yield pd.DataFrame([r | {"llm_called": True, "llm_finished_at": now, "seq": x["__seq"]} for r, x in zip(out, items, strict=True)])
+        def answer(items: list[dict]) -> pd.DataFrame:
+            out = call_with_retry(items, lambda xs: check_answers(xs, classifier.classify(xs), labels, strict), policy, bisect, sleep)
+            now = datetime.now().isoformat(timespec="seconds")
+            return pd.DataFrame([r | {"llm_called": True, "llm_finished_at": now, "seq": x["__seq"]} for r, x in zip(out, items, strict=True)])
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for frame in frames:
+                rows = frame.to_dict("records")
+                yield from pool.map(answer, (rows[at : at + batch] for at in range(0, len(rows), batch)))
 
     return base.mapInPandas(run, RESULT)
 

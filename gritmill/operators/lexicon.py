@@ -215,10 +215,18 @@ def _field_name(c: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in FIELD_NAMES.items() for x in kv)), c), c)
 
 
-def route(scored: DataFrame) -> dict[str, DataFrame]:
-    """Decided by rule, sent to the model, rejected; together all rows, none twice."""
+ROUTES = ("direct", "need_llm", "rejected")
+
+
+def route_name() -> Column:
+    """Decided by rule, sent to the model, or rejected."""
     gate, needs = F.coalesce(F.col("rule_gate_pass"), F.lit(False)), F.coalesce(F.col("needs_llm"), F.lit(False))
-    return {"direct": scored.where(gate & ~needs), "need_llm": scored.where(gate & needs), "rejected": scored.where(~gate)}
+    return F.when(~gate, "rejected").when(needs, "need_llm").otherwise("direct")
+
+
+def route(scored: DataFrame) -> dict[str, DataFrame]:
+    """The rows of each route; together all rows, none twice."""
+    return {name: scored.where(route_name() == name) for name in ROUTES}
 
 
 def local_reject(items: DataFrame, text: str = "text_for_cls", terms=LOCAL_REJECT_TERMS, min_chars: int = 20, max_chars: int = 600) -> DataFrame:
@@ -227,9 +235,3 @@ def local_reject(items: DataFrame, text: str = "text_for_cls", terms=LOCAL_REJEC
     hits = substring_hits(cut, terms)
     reason = F.when(F.char_length(cut) < min_chars, "metadata_too_short").when(F.size(hits) > 0, F.concat(F.lit("local_reject_terms="), F.array_join(F.slice(hits, 1, 6), ",")))
     return items.withColumn("local_reject_reason", reason)
-
-
-def term_plan(terms) -> str:
-    """How terms are matched, for the curious."""
-    single, phrases = split_terms(terms)
-    return f"{len(single)} words by token, {len(phrases)} phrases by substring"

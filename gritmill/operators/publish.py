@@ -17,10 +17,11 @@ from ..schemas import columns_like, preferred_first
 DOWNLOAD_DEFAULTS = {"download_ok": False, "download_error": "", "local_image_relpath": "", "local_image_path": "", "image_ext": "", "downloaded_at": "", "download_attempts": 0, "from_cache": False}
 
 
-def ledger_join(items: DataFrame, ledger: DataFrame, on: str = "item_id", defaults: dict | None = None, suffix: str = "_dl") -> DataFrame:
-    """items ⟕ ledger; a ledger column that items has already gets the suffix, gaps get the defaults."""
-    clash = {c: c + suffix for c in ledger.columns if c != on and c in items.columns}
-    out = items.join(ledger.withColumnsRenamed(clash), on, "left")
+def ledger_join(items: DataFrame, ledger: DataFrame, on: str | list[str] = "item_id", defaults: dict | None = None, suffix: str = "_dl") -> DataFrame:
+    """items ⟕ ledger on one or more keys; a ledger column that items has already gets the suffix, gaps get the defaults."""
+    keys = [on] if isinstance(on, str) else list(on)
+    clash = {c: c + suffix for c in ledger.columns if c not in keys and c in items.columns}
+    out = items.join(ledger.withColumnsRenamed(clash), keys, "left")
     fill = {c: v for c, v in (DOWNLOAD_DEFAULTS if defaults is None else defaults).items() if c in out.columns}
     return out.fillna(fill) if fill else out
 

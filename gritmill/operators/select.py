@@ -45,13 +45,6 @@ def select_quota(df: DataFrame, by: str, k: int, order: list[Column], classes) -
     return chosen, left, class_plan(df, by, classes, k)
 
 
-def allow_quota(spark, k: int) -> None:
-    """Lets Spark cut windows at k rows a class before the shuffle."""
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(spark.conf.get(key)) < k:
-        spark.conf.set(key, str(k))
-
-
 def stratified_sample(df: DataFrame, by: str, n: int, seed: int, classes, key: str = "item_id") -> tuple[DataFrame, DataFrame]:
     """(sample, plan): n rows a class in the order of a hash of key and seed; the same rows in every run."""
     order = [F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)]
@@ -59,11 +52,3 @@ def stratified_sample(df: DataFrame, by: str, n: int, seed: int, classes, key: s
     rows = rows.withColumn("__r", F.row_number().over(W.partitionBy(by).orderBy(*order))).where(F.col("__r") <= n).drop("__r")
     rows = rows.withColumns({"sample_category": F.col(by), "sample_quota": F.lit(n).cast("long"), "sample_random_seed": F.lit(seed).cast("long")})
     return rows.orderBy(by, key), class_plan(df, by, classes, n, ("target_sample", "sampled"))
-
-
-def first_present(df: DataFrame, *candidates: str) -> str:
-    """The first of several columns that df has."""
-    for c in candidates:
-        if c in df.columns:
-            return c
-    raise ValueError(f"none of {candidates} in {df.columns}")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -291,7 +288,7 @@ def _hits_sql(norm, words, terms):
     return f"(list_concat(list_filter({_q(single)}, lambda t: list_contains({words}, t)), list_filter({_q(phrases)}, lambda t: contains({norm}, t))))"
 
 
-def lexicon_sql(spec=LANGUAGES) -> str:
+def lexicon_sql(spec=LANGUAGES, items="documents") -> str:
     """The scoring as one SELECT with a column for each rule output."""
     n = len(spec.labels)
     fields = [f for f, _, _ in spec.fields]
@@ -307,7 +304,7 @@ def lexicon_sql(spec=LANGUAGES) -> str:
     points = [f"CASE WHEN r{g} > 0 AND NOT anchored AND s{g} = 0 THEN greatest(0, r{g} - CASE WHEN {others} >= r{g} THEN 3 ELSE 2 END) ELSE r{g} END AS p{g}" if k == g else f"r{k} AS p{k}" for k in range(n)]
     ranked = "list_sort([" + ", ".join(f"{{'neg': -p{k}, 'ord': {k}, 'label': '{lab}', 'strong': s{k}, 'weak': w{k}}}" for k, lab in enumerate(spec.labels)) + "])"
     shaky = f"(lead.label = '{spec.guarded}' AND NOT anchored AND lead.strong = 0)"
-    return rf"""WITH a AS (SELECT doc_id, lang, {text} AS text_for_cls, {norm} FROM documents),
+    return rf"""WITH a AS (SELECT doc_id, lang, {text} AS text_for_cls, {norm} FROM {items}),
 b AS (SELECT *, {NORM.format("text_for_cls")} AS nf, {toks} FROM a),
 c AS (SELECT *, {split.format("nf")} AS tf FROM b),
 e AS (SELECT *, len({_hits_sql("nf", "tf", spec.anchors)}) > 0 AS anchored, list_sort({_hits_sql("nf", "tf", spec.reject_terms)}) AS rejects, {", ".join(hits)} FROM c),
@@ -323,7 +320,7 @@ s AS (SELECT *, reason = '' AND top >= {spec.direct_score} AND margin >= {spec.d
 scored AS (SELECT doc_id, lang, text_for_cls, lead.label AS rule_top1_label, CAST(top AS BIGINT) AS rule_top1_score, CAST(second AS BIGINT) AS rule_top2_score, CAST(margin AS BIGINT) AS rule_margin, array_to_string(cands, ',') AS candidates,
   CAST(strong AS BIGINT) AS rule_positive_strong_hits, CAST(weak AS BIGINT) AS rule_positive_weak_hits, reason = '' AS rule_gate_pass, reason AS rule_reject_reason, reason = '' AND NOT direct AS needs_llm,
   CASE WHEN direct THEN lead.label END AS category, CASE WHEN direct THEN round(least(0.98, CAST(0.58 AS DOUBLE) + top * CAST({spec.per_point} AS DOUBLE) + margin * CAST(0.02 AS DOUBLE) + lead.strong * CAST(0.03 AS DOUBLE)), 3) END AS category_confidence,
-  CASE WHEN direct THEN 'rule' END AS category_source, {", ".join(f"CAST(p{k} AS BIGINT) AS score_{lab}" for k, lab in enumerate(spec.labels))}, rejects FROM s)
+  CASE WHEN direct THEN 'rule' END AS category_source, {", ".join(f'CAST(p{k} AS BIGINT) AS "score_{lab}"' for k, lab in enumerate(spec.labels))}, rejects FROM s)
 """
 
 
@@ -531,15 +528,20 @@ def sample_plan(spark, d):
     return _sample(spark, d)[1]
 
 
-@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC NULLS LAST, o_orderkey LIMIT 500")
-def priority_sort(spark, d):
-    return table(spark, d, "orders").orderBy(F.col("o_orderpriority").asc_nulls_last(), *select.priority_order("o_totalprice", key="o_orderkey")).limit(500).select("o_orderkey", "o_orderpriority", "o_totalprice")
+def _by_priority(spark, d):
+    return table(spark, d, "orders").orderBy(F.col("o_orderpriority").asc_nulls_last(), *select.priority_order("o_totalprice", key="o_orderkey")).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
-def priority_sort_all(spark, d):
-    """All rows in the order whose first rows priority_sort has; a comparison of rows does not see their order."""
-    return table(spark, d, "orders").orderBy(F.col("o_orderpriority").asc_nulls_last(), *select.priority_order("o_totalprice", key="o_orderkey")).select("o_orderkey", "o_orderpriority", "o_totalprice")
+def priority_sort(spark, d):
+    """All rows in order; a comparison of rows does not see it, a test does."""
+    return _by_priority(spark, d)
+
+
+@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC NULLS LAST, o_orderkey LIMIT 500")
+def priority_top(spark, d):
+    """A report of the first 500 rows of priority_sort."""
+    return _by_priority(spark, d).limit(500)
 
 
 # --- downloads, paths, names
@@ -761,8 +763,7 @@ def response_validation(spark, d):
 @query(STUB)
 def stream_resume(spark, d):
     """Two runs over a growing source: the second handles only what is new, and the result is that of one run."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    base = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = writers.scratch(spark, "stream")
     items = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("item_id"), "lang")
     for k in (0, 1):
         items.where(F.pmod(F.xxhash64("item_id"), F.lit(2)) == k).write.mode("append").parquet(f"{base}/in")
@@ -770,7 +771,16 @@ def stream_resume(spark, d):
     return resume.latest_results(spark, f"{base}/out", _classify(items).schema).select("item_id", "llm_label", "llm_confidence", "llm_ok")
 
 
-@query("SELECT 'orders.parquet' AS file, count(*) AS n_rows, 6 AS n_columns, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns FROM orders")
+#: Columns of the test tables.
+COLUMNS = {
+    "region": "r_regionkey,r_name", "nation": "n_nationkey,n_name,n_regionkey", "customer": "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment",
+    "supplier": "s_suppkey,s_name,s_nationkey,s_acctbal", "part": "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice",
+    "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority", "events": "event_id,ts,user_id,event_type,value,props",
+    "documents": "doc_id,text,lang,source,n_chars", "labels": "doc_id,quality,toxic", "pages": "page_id,url,html", "benchmark": "item_id,text", "conversations": "conv_id,turn,role,text",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}.parquet' AS file, count(*) AS n_rows, {c.count(',') + 1} AS n_columns, '{c}' AS columns FROM {t}" for t, c in COLUMNS.items()))
 def parquet_footers(spark, d):
-    x = readers.parquet_summary(spark, d, glob="orders.parquet")
-    return x.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "n_rows", "n_columns", "columns")
+    x = readers.parquet_summary(spark, d)
+    return x.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "n_rows", "n_columns", "columns").where(F.col("file").isin([f"{t}.parquet" for t in COLUMNS]))

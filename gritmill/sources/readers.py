@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -13,6 +14,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import conform, empty
 
+BOM = "\ufeff"
+
 
 def _fs(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,14 +34,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def read_shards(spark: SparkSession, directory: str, glob: str, schema: StructType, sep: str = ",", on_missing: str = "error", rename: dict[str, str] | None = None, provenance: bool = False) -> DataFrame:
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, which may be compressed; nothing else is read and no job runs."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop, fs = _fs(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hadoop)
+    stream = fs.open(hadoop)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def read_shards(spark: SparkSession, directory: str, glob: str, schema: StructType, sep: str = ",", on_missing: str = "error", rename: dict[str, str] | None = None, provenance: bool = False, multi_line: bool = True) -> DataFrame:
     """Delimited shards as one table with exactly the schema's columns, bound by name.
 
     Spark binds CSV columns by place, so shards are read by groups that share a
     header. Rows of another length than their header are dropped, empty and
     quoted empty cells are null, what cannot be cast is null, columns a shard
     lacks are null. rename maps header names to schema names. Without any shard:
-    an error, or an empty table with on_missing='empty'.
+    an error, or an empty table with on_missing='empty'. A shard is one task
+    unless multi_line is False, which forbids line breaks in cells.
     """
     paths = list_paths(spark, f"{directory.rstrip('/')}/{glob}")
     if not paths:
@@ -46,19 +63,18 @@ def read_shards(spark: SparkSession, directory: str, glob: str, schema: StructTy
             return empty(spark, schema)
         raise FileNotFoundError(f"no {glob} in {directory}")
     groups: dict[str, list[str]] = defaultdict(list)
-    for p in paths:  # one line of each shard
-        head = spark.read.text(p).limit(1).collect()
-        groups[head[0][0] if head else ""].append(p)
+    for p in paths:
+        groups[_first_line(spark, p).lstrip(BOM)].append(p)
     parts = []
     for head, members in groups.items():
         if not head:
             continue
-        names = spark.read.option("header", True).option("sep", sep).csv(members[0]).columns
-        own = [(rename or {}).get(n.strip().lstrip("﻿"), n.strip().lstrip("﻿")) for n in names]
+        names = [n.strip() for n in next(csv.reader([head], delimiter=sep))]
+        own = [(rename or {}).get(n, n) for n in names]
         text = StructType()
         for i in range(len(own)):
             text = text.add(f"c{i}", StringType())
-        options = {"header": True, "sep": sep, "mode": "DROPMALFORMED", "enforceSchema": True, "multiLine": True, "escape": '"', "emptyValue": None, "nullValue": ""}
+        options = {"header": True, "sep": sep, "mode": "DROPMALFORMED", "enforceSchema": True, "multiLine": multi_line, "escape": '"', "emptyValue": None, "nullValue": ""}
         rows = spark.read.options(**{k: v for k, v in options.items() if v is not None}).schema(text).csv(members)
         cells = [F.nullif(F.col(f"c{i}"), F.lit("")).alias(n) for i, n in enumerate(own)]
         rows = rows.select(*cells, F.col("_metadata.file_name").alias("source_file"))

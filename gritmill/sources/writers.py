@@ -3,27 +3,41 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .readers import exists
+from .readers import BOM, exists
 
-BOM = "﻿"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder of the session; in the warehouse where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def write_stage(df: DataFrame, path: str, if_exists: str = "overwrite") -> DataFrame:
-    """df as zstd Parquet, read again with its schema; 'reuse' keeps a table that is there, 'error' refuses."""
+    """df as zstd Parquet, read again with its schema.
+
+    'overwrite' warns and replaces a table that is there, 'reuse' keeps a whole one, 'error' refuses.
+    """
     spark = df.sparkSession
+    if if_exists == "overwrite" and exists(spark, path):
+        warnings.warn(f"{path} is there and gets overwritten", stacklevel=2)
     if if_exists == "reuse" and exists(spark, f"{path}/_SUCCESS"):
         return spark.read.schema(df.schema).parquet(path)
     df.write.mode("overwrite" if if_exists in ("overwrite", "reuse") else "errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_routes(scored: DataFrame, routes: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    """The whole table and its routes, each with its full schema also when empty."""
-    return {name: write_stage(df, f"{directory}/{name}") for name, df in {"all": scored, **routes}.items()}
+def write_routes(scored: DataFrame, route: Column, names: tuple[str, ...], directory: str) -> dict[str, DataFrame]:
+    """Every row once, under its route's folder, in one pass; the whole ('all') and each named route, with its full schema also when empty."""
+    scored.withColumn("route", route).write.mode("overwrite").option("compression", "zstd").partitionBy("route").parquet(directory)
+    whole = scored.sparkSession.read.schema(StructType([*scored.schema.fields, StructField("route", StringType())])).parquet(directory)
+    return {"all": whole.drop("route"), **{name: whole.where(F.col("route") == name).drop("route") for name in names}}
 
 
 def append_ledger(df: DataFrame, path: str, run_id: str | None = None) -> str:

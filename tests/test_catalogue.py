@@ -16,7 +16,7 @@ def test_every_query_has_sql():
 
 
 def test_the_whole_sort_has_all_rows_in_order(spark):
-    got = [tuple(r) for r in catalogue.QUERIES["priority_sort_all"](spark, SF).collect()]
+    got = [tuple(r) for r in catalogue.QUERIES["priority_sort"](spark, SF).collect()]
     orders = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_totalprice").collect()
     assert len(got) > 500 and got == sorted(map(tuple, orders), key=lambda r: (r[1], -r[2], r[0]))
 
@@ -26,3 +26,16 @@ def test_no_class_is_dropped(spark, tmp_path):
     spark.range(150).selectExpr("id AS o_orderkey", "concat('p', id) AS o_orderpriority", "double(id) AS o_totalprice").write.parquet(f"{d}/orders.parquet")
     spark.range(150).selectExpr("id AS c_custkey", "concat('s', id) AS c_mktsegment").write.parquet(f"{d}/customer.parquet")
     assert catalogue.QUERIES["quota_select"](spark, d).count() == catalogue.QUERIES["stratified_sample"](spark, d).count() == 150
+
+
+def test_good_rows_come_first_then_by_score(spark):
+    got = [(r.ok, r.score, r.vec_id) for r in catalogue.QUERIES["ok_score_sort"](spark, SF).collect()]
+    assert got == sorted(got, key=lambda r: (not r[0], r[1] is None, -(r[1] or 0), r[2]))
+
+
+def test_overwriting_warns(spark, tmp_path):
+    from gritmill.sources import writers
+
+    writers.write_stage(spark.range(1), str(tmp_path / "t"))
+    with pytest.warns(UserWarning, match="overwritten"):
+        writers.write_stage(spark.range(2), str(tmp_path / "t"))
