@@ -97,13 +97,12 @@ def group_counts(df: DataFrame, *by: str) -> DataFrame:
 
 def selected_rows(merged: DataFrame, k: int, by: str = "category", classes=LABELS, downloads: str = "stats_downloads", views: str = "stats_views", key: str = "item_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(merged with selection columns, selected, plan) of a `quota` merge: k rows a class, model decisions first."""
-    from .select import class_plan, priority_order, ranked_in_class
+    from .select import class_plan, priority_order, top_in_class
 
     order = priority_order("source_priority", "effective_confidence", downloads, views, key=key)
-    ranks = ranked_in_class(merged.where("eligible"), by, order, classes)
-    place = ranks.select(key, "rank_in_selected_category")
+    place = top_in_class(merged.where("eligible"), by, k, order, classes).select(key, "rank_in_selected_category")
     out = merged.join(place, key, "left")
-    chosen = F.coalesce(F.col("rank_in_selected_category") <= k, F.lit(False))
+    chosen = F.col("rank_in_selected_category").isNotNull()
     out = out.withColumns({
         "selected_final": chosen,
         "selection_stage": F.when(chosen, "category_quota").when(F.col("eligible"), "not_selected_by_category_quota"),

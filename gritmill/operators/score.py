@@ -18,14 +18,35 @@ def vector_score(df: DataFrame, vec: str, weights: list[float], bias: float = 0.
     return df.withColumns({out: F.when(fits, linear(normalise(F.col(vec)), weights, bias)), f"{stem}_ok": fits, f"{stem}_error": F.when(fits, "").otherwise("bad vector")})
 
 
-def quantile_keep(df: DataFrame, col: str, q: float = 0.30, ok: str | None = None, digits: int = 9) -> DataFrame:
-    """Rows whose value reaches the q-quantile (linear interpolation) of the rows that are ok and not null.
+def quantile(rows: DataFrame, col: str, q: float, exact_rows: int = 1_000_000) -> float | None:
+    """The q-quantile (linear interpolation) of the values that are not null; None if there are none.
 
-    The cut is one row; it meets the table in a broadcast of that row.
+    Approximate quantiles on either side of the place sought narrow the range
+    until at most exact_rows rows, or values of few kinds, are in it; only those
+    are ordered exactly. Each round reads one column and brings four numbers.
     """
+    x = F.col(col).cast("double")
+    inside, below, size = rows.where(x.isNotNull()).select(x.alias("x")), 0, None
+    total = size = inside.count()
+    if not total:
+        return None
+    place = q * (total - 1)
+    while size > exact_rows:
+        margin = 2e-4
+        shares = [max(0.0, (place - below) / size - margin), min(1.0, (place + 1 - below) / size + margin)]
+        low, high = inside.agg(F.percentile_approx("x", shares, F.lit(10_000))).first()[0]
+        under, within = inside.agg(F.count_if(F.col("x") < low), F.count_if(F.col("x").between(low, high))).first()
+        if not below + under <= place <= place + 1 <= below + under + within or within > size / 2:
+            break
+        inside, below, size = inside.where(F.col("x").between(low, high)), below + under, within
+    return inside.agg(F.percentile("x", (place - below) / max(1, size - 1))).first()[0]
+
+
+def quantile_keep(df: DataFrame, col: str, q: float = 0.30, ok: str | None = None, digits: int = 9, exact_rows: int = 1_000_000) -> DataFrame:
+    """Rows whose value reaches the q-quantile (linear interpolation) of the rows that are ok and not null."""
     rows = df if ok is None else df.where(F.col(ok))
-    cut = rows.agg(F.round(F.percentile(col, q), digits).alias("__cut"))
-    return rows.crossJoin(F.broadcast(cut)).where(F.round(col, digits) >= F.col("__cut")).drop("__cut")
+    cut = quantile(rows, col, q, exact_rows)
+    return rows.where(F.round(col, digits) >= F.round(F.lit(cut).cast("double"), digits))
 
 
 def class_logits(vec: Column, prompts: list[list[float]], scale: float) -> Column:

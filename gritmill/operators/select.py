@@ -33,14 +33,27 @@ def ranked_in_class(df: DataFrame, by: str, order: list[Column], classes=None) -
     return rows.withColumn("rank_in_selected_category", F.row_number().over(W.partitionBy(by).orderBy(*order)).cast("long"))
 
 
-def select_quota(df: DataFrame, by: str, k: int, order: list[Column], classes) -> tuple[DataFrame, DataFrame, DataFrame]:
+def top_in_class(df: DataFrame, by: str, k: int, order: list[Column], classes=None, salts: int = 64) -> DataFrame:
+    """The first k rows of every class by order, with their rank: what ranked_in_class gives up to k.
+
+    First the best k of each of `salts` parts of a class, then the best k of
+    those, so that no task sorts a whole class. order must tell any two rows apart.
+    """
+    rows = df if classes is None else df.where(F.col(by).isin(*classes))
+    rows = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    first = rows.withColumn("__place", F.row_number().over(W.partitionBy(by, "__salt").orderBy(*order))).where(F.col("__place") <= k)
+    return ranked_in_class(first.drop("__salt", "__place"), by, order).where(F.col("rank_in_selected_category") <= k)
+
+
+def select_quota(df: DataFrame, by: str, k: int, order: list[Column], classes, key: str = "item_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(selected, leftover, plan): the first k rows of every class by order, the rest of these classes, the plan.
 
-    selected has selection_stage, selected_final and the rank; leftover has no rank.
+    selected has selection_stage, selected_final and the rank; leftover has no
+    rank. key is unique, never null, and the last of order.
     """
-    rows = ranked_in_class(df, by, order, classes)
-    chosen = rows.where(F.col("rank_in_selected_category") <= k).withColumns({"selection_stage": F.lit("category_quota"), "selected_final": F.lit(True)})
-    left = rows.where(F.col("rank_in_selected_category") > k).drop("rank_in_selected_category")
+    chosen = top_in_class(df, by, k, order, classes)
+    left = df.where(F.col(by).isin(*classes)).join(chosen.select(key), key, "left_anti").select(*df.columns)
+    chosen = chosen.withColumns({"selection_stage": F.lit("category_quota"), "selected_final": F.lit(True)})
     left = left.withColumns({"selection_stage": F.lit("not_selected_by_category_quota"), "selected_final": F.lit(False)})
     return chosen, left, class_plan(df, by, classes, k)
 

@@ -486,7 +486,7 @@ RANKED = "SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_t
 
 def _quota(spark, d, k=400):
     order = select.priority_order("o_totalprice", key="o_orderkey")
-    return select.select_quota(table(spark, d, "orders"), "o_orderpriority", k, order, _priorities(spark, d))
+    return select.select_quota(table(spark, d, "orders"), "o_orderpriority", k, order, _priorities(spark, d), "o_orderkey")
 
 
 def _priorities(spark, d):

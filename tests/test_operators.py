@@ -281,3 +281,25 @@ def test_a_failing_step_ends_the_run(spark):
 
     with pytest.raises(pipeline.StepFailed, match="second"):
         pipeline.run(spark, [("first", lambda s, t: s.range(1)), ("second", lambda s, t: t["nothing"])], {})
+
+
+def test_top_of_salted_classes_is_the_top_of_classes(spark):
+    df = spark.range(0, 5000, 1, 7).select("id", (F.col("id") % 3).alias("c"), (F.hash("id") % 50).alias("s"))
+    order = [F.col("s").desc(), F.col("id")]
+    want = select.ranked_in_class(df, "c", order).where(F.col("rank_in_selected_category") <= 40)
+    got = select.top_in_class(df, "c", 40, order)
+    assert sorted(want.collect()) == sorted(got.collect())
+    assert "[c#" in plan_of(got) and "__salt" in plan_of(got)
+    chosen, left, _ = select.select_quota(df, "c", 40, order, [0, 1, 2], "id")
+    assert chosen.count() == 120 and left.count() == 4880 and left.columns[:3] == ["id", "c", "s"]
+
+
+def test_quantiles_narrow_to_the_exact_value(spark):
+    import numpy as np
+
+    values = np.random.default_rng(2).lognormal(size=30_000).round(3)
+    values[:9000] = 1.5  # a value of very many rows
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").cache()
+    for q in (0.0, 0.1, 0.3, 0.5, 0.99, 1.0):
+        assert abs(score.quantile(df, "v", q, exact_rows=500) - np.quantile(values, q)) < 1e-9
+    assert score.quantile(df.limit(0), "v", 0.5) is None and score.quantile_keep(df.limit(0), "v").count() == 0
