@@ -44,9 +44,13 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder in the warehouse where that is unset."""
+    """spark.checkpoint.dir of the session; a folder in the warehouse where that is unset, but on a cluster no local one."""
     given = spark.conf.get("spark.checkpoint.dir", None)
-    return (given or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
+    if not given:
+        given = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if given.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return given.rstrip("/")
 
 
 def table(df: DataFrame, name: str, partition_by: str | None = None, rows: int | None = None, rows_per_file: int = 100_000) -> DataFrame:

@@ -30,6 +30,18 @@ def n_words(text: Column) -> Column:
     return (F.size(parts) - edges).cast("long")
 
 
+def _ranked(sizes: DataFrame) -> DataFrame:
+    """sizes with rank, the number of its source in their order, nulls last; a range sort, counted by partition."""
+    lower = (1 << 33) - 1  # a monotonically increasing id is the partition and, in 33 bits, the row in it
+    placed = table(sizes.orderBy(F.col("source").asc_nulls_last()).withColumn("id", F.monotonically_increasing_id()), "mix-order")
+    part = F.shiftright("id", 33)
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("part", before.alias("before"))  # a row a partition of the sort
+    rows = placed.withColumn("part", part).join(F.broadcast(counts), "part")
+    return rows.withColumn("rank", F.col("before") + F.col("id").bitwiseAND(lower)).drop("part", "before", "id")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES) -> DataFrame:
     """(source, source_size, rank, target) from (source, source_size).
 
@@ -37,9 +49,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASS
     a source's size is shared again among the others. Only three sums come to
     the driver in each round. A source without words has target 0.
     """
-    order = W.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))
-    ranked = table(sizes.withColumn("rank", F.row_number().over(order) - 1).withColumn("weight", weight).withColumn("cap", F.col("source_size") * max_passes), "mix-sources")
+    ranked = table(_ranked(sizes).withColumn("weight", weight).withColumn("cap", F.col("source_size") * max_passes), "mix-sources")
     total = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     full, n_full = F.lit(False), -1
     while True:

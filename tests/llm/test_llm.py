@@ -674,8 +674,24 @@ def test_mixture_meets_its_targets_and_repeats_itself(spark):
 def test_schedules_are_inverted(spark):
     steps = [[(0.0, 0.5, 2.0, 1.0), (0.5, 1.0, 1.0, 0.0)]]
     got = spark.createDataFrame([(k / 10,) for k in range(11)], "s double").select("s", mixing.when_demanded(F.col("s"), F.lit(0), steps).alias("t")).collect()
-    area = lambda t: 2 * t - t * t if t <= 1 else 1  # noqa: E731  of 2 - 2t, the first segment halved
-    assert [r.t for r in got] == sorted(r.t for r in got) and got[0].t == 0 and abs(got[-1].t - 1) < 1e-9 and area(0) == 0
+    area = lambda t: 2 * t - t * t  # noqa: E731  both segments lie on 2 - 2t
+    assert all(abs(area(r.t) - r.s) < 1e-9 for r in got) and [r.t for r in got] == sorted(r.t for r in got)
+
+
+def test_many_sources_are_ranked_by_range(spark):
+    names = [f"host{i:04d}" for i in range(500)] + [None]
+    sizes = spark.createDataFrame([(n, 10 + k) for k, n in enumerate(names)], "source string, source_size long").repartition(7)
+    got = {r.source: (r.rank, r.target) for r in mixing.source_targets(sizes).collect()}
+    assert [got[n][0] for n in names] == list(range(501)) and abs(sum(t for _, t in got.values()) - sum(10 + k for k in range(501))) < 1e-6
+
+
+def test_tables_are_cleared(spark):
+    path = common.table(spark.range(3), "to-clear").inputFiles()[0]
+    from gritmill.sources.readers import exists
+
+    assert exists(spark, path)
+    common.clear_tables(spark)
+    assert not exists(spark, path)
 
 
 def test_training_order(spark):
