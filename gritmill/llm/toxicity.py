@@ -192,8 +192,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2_000, max_ordinary
     """Trains on a bounded sample of labelled rows whose crc32(id) mod 5 is not 0.
 
     The sample: of each label the first ids by md5 (max_toxic, max_ordinary),
-    texts of at most max_bytes bytes. Ids with several labels count as toxic if
-    one of them says so; null labels do not count.
+    texts of at most max_bytes bytes; of rows that share an id the text with the
+    smallest hash. Ids with several labels count as toxic if one of them says
+    so; null labels do not count.
     """
     labels = pick(labels, doc_id="doc_id", label=label_col).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     labels = labels.groupBy("doc_id").agg(F.max("label").alias("label")).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
@@ -202,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2_000, max_ordinary
     chosen = [labels.where(F.col("label") == k).orderBy(order).limit(n) for k, n in ((1, max_toxic), (0, max_ordinary))]
     ids = chosen[0].unionByName(chosen[1])
     rows = docs.where(F.octet_length("text") <= max_bytes).join(F.broadcast(ids), "doc_id")
-    rows = rows.orderBy(order, F.xxhash64("text")).limit(max_toxic + max_ordinary).collect()  # ids may repeat
+    rows = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
     rows = sorted({(r.doc_id, r.text, r.label) for r in rows}, key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]), r[1]))
     return train([t for _, t, k in rows if k == 1], [t for _, t, k in rows if k == 0])
 
