@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Python's \s has it, and as RE2's.
 PY_SPACE = "[\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+PY_SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 SQL_SPACE = "[\\t\\n\\f\\r ]"
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -16,7 +17,8 @@ def safe(c: Column) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{PY_SPACE}+|{PY_SPACE}+$", "")
+    """Looks at the ends only, where a pattern would go through the whole text."""
+    return F.btrim(c, F.lit(PY_SPACE_CHARS))
 
 
 def sql_trim(c: Column) -> Column:
@@ -30,8 +32,7 @@ def collapse(c: Column) -> Column:
 
 def norm_text(c: Column) -> Column:
     """Lower case; bars, underscores, slashes and white space become single spaces."""
-    c = F.regexp_replace(F.translate(F.lower(safe(c)), "|", " "), r"[_/\\]+", " ")
-    return F.trim(F.regexp_replace(c, f"{PY_SPACE}+", " "))
+    return F.trim(F.regexp_replace(F.lower(safe(c)), r"[|_/\\" + PY_SPACE[1:] + "+", " "))
 
 
 def truncate(c: Column, n: int) -> Column:

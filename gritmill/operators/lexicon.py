@@ -125,7 +125,7 @@ def fence(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def lexicon_hits(items: DataFrame, spec: LexiconSpec) -> DataFrame:
-    """items with text_for_cls, __full, __words (of it) and hits: per label and strength an array of (field, term)."""
+    """items with text_for_cls, __full, __words (those of it that reject or anchor) and hits: per label and strength an array of (field, term)."""
     have = set(items.columns)
     source = {c: F.col(c) if c in have else F.lit(None).cast("string") for c in {c for _, c in spec.text_fields} | {f for f, _, _ in spec.fields}}
     if spec.grouped_keywords:
@@ -134,7 +134,10 @@ def lexicon_hits(items: DataFrame, spec: LexiconSpec) -> DataFrame:
     rows = items.withColumn("text_for_cls", assemble_text([(name, source[c]) for name, c in spec.text_fields], spec.text_chars))
     rows = rows.withColumns({"__full": norm_text(F.col("text_for_cls")), **{f"__n{i}": norm_text(source[f]) for i, (f, _, _) in enumerate(spec.fields)}})
     rows = fence(rows, {"text_for_cls": F.col("text_for_cls"), "__full": F.col("__full"), **{f"__n{i}": F.col(f"__n{i}") for i in range(len(spec.fields))}})
-    rows = rows.withColumns({"__words": tokens(F.col("__full")), **{f"__t{i}": tokens(F.col(f"__n{i}")) for i in range(len(spec.fields))}})
+    # Of each text's words only those that some list holds go on: one look at the long array, not one a label and strength.
+    scored = _words_among(t for pair in spec.vocabulary.values() for ts in pair for t in ts)
+    rows = rows.withColumns({"__words": F.array_intersect(tokens(F.col("__full")), _words_among((*spec.anchors, *spec.reject_terms))), **{f"__t{i}": F.array_intersect(tokens(F.col(f"__n{i}")), scored) for i in range(len(spec.fields))}})
+    rows = fence(rows, {c: F.col(c) for c in ("__words", *(f"__t{i}" for i in range(len(spec.fields))))})
     hits = {}
     for k, label in enumerate(spec.labels):
         for strength, terms in zip("sw", spec.vocabulary[label], strict=True):
@@ -143,6 +146,11 @@ def lexicon_hits(items: DataFrame, spec: LexiconSpec) -> DataFrame:
     return fence(rows, {**hits, "__words": F.col("__words")})
 
 
+def _words_among(terms) -> Column:
+    """The single words of a list of terms, as an array; phrases are looked for in the text."""
+    return F.array(*map(F.lit, split_terms(terms)[0])).cast("array<string>")
+
+
 def _in_field(name: str):
     return lambda t: F.struct(F.lit(name).alias("field"), t.alias("term"))
 

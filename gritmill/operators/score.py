@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vector import dot, linear, normalise, ranked, softmax
+from ..functions.vector import linear, normalise, ranked, softmax
 from .lexicon import fence
 
 
@@ -50,8 +52,27 @@ def quantile_keep(df: DataFrame, col: str, q: float = 0.30, ok: str | None = Non
 
 
 def class_logits(vec: Column, prompts: list[list[float]], scale: float) -> Column:
-    unit = normalise(vec)
-    return F.array(*(F.lit(scale) * dot(unit, F.array(*map(F.lit, map(float, p)))) for p in prompts))
+    """scale times the dot products of the normalised vector with each prompt; null for missing, ill-sized or broken vectors.
+
+    A matrix product in Arrow batches: as expressions over arrays every element
+    costs two interpreted lambdas for each prompt, which is ten times slower at
+    10 prompts of 64 numbers.
+    """
+    matrix = np.asarray(prompts, float).T
+
+    @F.pandas_udf("array<double>")
+    def logits(vectors: pd.Series) -> pd.Series:
+        out = np.full(len(vectors), None, object)
+        rows = {i: np.asarray(v, float) for i, v in enumerate(vectors) if v is not None and len(v) == len(matrix)}
+        good = [i for i, v in rows.items() if np.isfinite(v).all()]
+        if good:
+            x = np.stack([rows[i] for i in good])
+            x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
+            for i, row in zip(good, scale * (x @ matrix), strict=True):
+                out[i] = row
+        return pd.Series(out)
+
+    return logits(vec)
 
 
 def class_probs(df: DataFrame, vec: str, prompts: dict[str, list[float]], scale: float = 100.0) -> DataFrame:

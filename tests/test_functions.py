@@ -77,3 +77,13 @@ def test_assemble_text_cuts_by_code_points(spark):
 def test_softmax_and_rank_break_ties_by_order(spark):
     r = spark.range(1).select(V.ranked(F.array(F.lit("b"), F.lit("a")), V.softmax(F.array(F.lit(1.0), F.lit(1.0)))).alias("r")).first().r
     assert [x.label for x in r] == ["b", "a"] and r[0].score == 0.5
+
+
+def test_strip_and_norm_against_python(spark):
+    import re
+
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    texts = [s + "a" + s + "|b__c/ \\d" + s for s in spaces] + ["".join(spaces) + "é" + "".join(spaces), "".join(spaces), "", "_|/", "A​B"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.py_strip(F.col("t")).alias("s"), T.norm_text(F.col("t")).alias("n")).collect()
+    for r in rows:
+        assert r.s == r.t.strip() and r.n == re.sub(r"\s+", " ", re.sub(r"[_/\\]+", " ", r.t.lower().replace("|", " "))).strip()

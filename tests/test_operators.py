@@ -303,3 +303,9 @@ def test_quantiles_narrow_to_the_exact_value(spark):
     for q in (0.0, 0.1, 0.3, 0.5, 0.99, 1.0):
         assert abs(score.quantile(df, "v", q, exact_rows=500) - np.quantile(values, q)) < 1e-9
     assert score.quantile(df.limit(0), "v", 0.5) is None and score.quantile_keep(df.limit(0), "v").count() == 0
+
+
+def test_logits_of_odd_vectors(spark):
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([1.0],), (None,), ([1.0, None],), ([],)], "v array<double>")
+    got = [r.z for r in df.select(score.class_logits(F.col("v"), [[1.0, 0.0], [0.0, 2.0]], 10.0).alias("z")).collect()]
+    assert [round(x, 9) for x in got[0]] == [6.0, 16.0] and got[1] == [0.0, 0.0] and got[2:] == [None] * 4
