@@ -124,7 +124,11 @@ def classify_external(pending: DataFrame, classifier: Classifier, batch: int = 1
 
 def validate_response(raw: Column, labels: tuple[str, ...] = LABELS) -> Column:
     """One model response in JSON as a struct (label, confidence, reason, in_scope, reject_reason, error), native."""
-    x = F.from_json(raw, "is_target boolean, label string, confidence double, reason string")
+    parsed = F.from_json(raw, "is_target boolean, label string, confidence double, reason string")
+    return F.get(F.transform(F.array(parsed), lambda x: _validated(x, labels)), F.lit(0))  # parsed once, named many times
+
+
+def _validated(x: Column, labels: tuple[str, ...]) -> Column:
     label, reason = F.trim(safe(x["label"])), F.trim(safe(x["reason"]))
     refused = ~F.coalesce(x["is_target"], F.lit(False)) | (label == REJECT_LABEL)
     bad = x.isNull() | ~label.isin(*labels, REJECT_LABEL)

@@ -756,8 +756,8 @@ def external_stub(spark, d):
 def response_validation(spark, d):
     label = F.when(F.col("event_type") == "error", "zzz").when(F.col("event_type") == "view", external.REJECT_LABEL).otherwise("城市、建筑")
     raw = F.to_json(F.struct((F.col("event_type") != "view").alias("is_target"), label.alias("label"), (F.col("event_id") % 9 / 8).alias("confidence"), F.lit("no").alias("reason")))
-    v = external.validate_response(raw)
-    return table(spark, d, "events").select("event_id", v["label"].alias("label"), v["confidence"].alias("confidence"), v["in_scope"].alias("in_scope"), v["reject_reason"].alias("reject_reason"))
+    x = table(spark, d, "events").select("event_id", external.validate_response(raw).alias("v"))
+    return x.select("event_id", "v.label", "v.confidence", "v.in_scope", "v.reject_reason")
 
 
 @query(STUB)
