@@ -174,7 +174,7 @@ def test_quality_sql_on_odd_rows(spark, tmp_path):
 
 def test_quality_divergence(spark):
     # documents that pass the base rules: only those make a reference
-    plain = ["The cat of the house and the dog in the garden is that it was %d for. " % i + "".join(f"the w{i}x{j} of a " for j in range(40)) for i in range(30)]
+    plain = ["The cat of the house and the dog in the garden is that it was %d for. " % i + "".join(f"the w{i}x{j} of v{i}y{j} " for j in range(40)) for i in range(30)]
     out = {r.doc_id: r for r in quality.judge_quality(docs(spark, *plain, "%%% ### &&& $$$ *** " * 40)).collect()}
     assert out[30].class_distance > 0.5 > out[0].class_distance
 
