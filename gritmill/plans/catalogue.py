@@ -782,5 +782,4 @@ COLUMNS = {
 
 @query(" UNION ALL ".join(f"SELECT '{t}.parquet' AS file, count(*) AS n_rows, {c.count(',') + 1} AS n_columns, '{c}' AS columns FROM {t}" for t, c in COLUMNS.items()))
 def parquet_footers(spark, d):
-    x = readers.parquet_summary(spark, d)
-    return x.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "n_rows", "n_columns", "columns").where(F.col("file").isin([f"{t}.parquet" for t in COLUMNS]))
+    return readers.parquet_tables(spark, d).select("file", "n_rows", "n_columns", "columns").where(F.col("file").isin([f"{t}.parquet" for t in COLUMNS]))

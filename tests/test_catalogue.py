@@ -33,6 +33,13 @@ def test_good_rows_come_first_then_by_score(spark):
     assert got == sorted(got, key=lambda r: (not r[0], r[1] is None, -(r[1] or 0), r[2]))
 
 
+def test_footers_of_tables_in_folders(spark, duck, tmp_path):
+    for name in catalogue.COLUMNS:
+        spark.read.parquet(f"{SF}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = rows_of(catalogue.QUERIES["parquet_footers"](spark, str(tmp_path)).toPandas())
+    assert got == rows_of(duck.sql(catalogue.SQL["parquet_footers"]).df())
+
+
 def test_overwriting_warns(spark, tmp_path):
     from gritmill.sources import writers
 

@@ -1,5 +1,7 @@
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from gritmill import schemas
@@ -36,6 +38,43 @@ def test_footers(spark, tmp_path):
     assert sorted(r.n_rows or -1 for r in rows) == [-1, 7] and any(r.error for r in rows)
 
 
+def test_footers_are_all_that_is_read(spark, tmp_path):
+    wide = pa.table({f"c{i}": [i] for i in range(900)} | {"s": [{"a": 1, "b": 2}]})
+    pq.write_table(wide, tmp_path / "wide %20.parquet")
+    content = (tmp_path / "wide %20.parquet").read_bytes()
+    with (tmp_path / "large.parquet").open("wb") as f:
+        f.seek(3 << 30)
+        f.write(content)
+    (tmp_path / "bad.parquet").write_bytes(b"\xff" * 100_000)
+    (tmp_path / "cut.parquet").write_bytes(content[:-1])
+    rows = {r.path.rpartition("/")[2]: r for r in readers.parquet_summary(spark, str(tmp_path)).collect()}
+    assert pq.read_metadata(tmp_path / "wide %20.parquet").serialized_size > readers.TAIL
+    for name in ("wide %20.parquet", "large.parquet"):
+        assert (rows[name].n_rows, rows[name].n_columns, rows[name].columns, rows[name].error) == (1, 901, ",".join(wide.column_names), None)
+    assert rows["large.parquet"].size_bytes == (3 << 30) + len(content)
+    assert all(rows[name].error and rows[name].n_rows is None for name in ("bad.parquet", "cut.parquet"))
+
+
+def test_a_folder_is_one_table(spark, tmp_path):
+    d = tmp_path / "a" / "x=1"
+    spark.range(10).repartition(4).write.parquet(str(d / "parts.parquet"))
+    spark.range(3).selectExpr("id", "'x' AS note").coalesce(1).write.mode("append").parquet(str(d / "parts.parquet"))
+    spark.range(9).selectExpr("id", "id % 3 AS k").write.partitionBy("k").parquet(str(d / "dealt.parquet"))
+    pq.write_table(pa.table({"id": [1, 2]}), d / "single.parquet")
+    for name in ("_metadata", "old/part-0.parquet", "_temporary/part-0.parquet", ".hidden.parquet"):
+        (d / "parts.parquet" / name).parent.mkdir(exist_ok=True)
+        pq.write_table(pa.table({"id": [1]}), d / "parts.parquet" / name)
+    spark.range(5).repartition(2).write.parquet(str(d / "broken.parquet"))
+    (d / "broken.parquet" / "part-9").write_bytes(b"nothing")
+    spark.range(5).where("false").write.parquet(str(d / "none.parquet"))
+    rows = {r.file: r for r in readers.parquet_tables(spark, f"{d}/").collect()}
+    whole = {name: (r.n_rows, r.n_columns, set(r.columns.split(","))) for name, r in rows.items() if r.error is None}
+    assert whole == {name: (df.count(), len(df.columns), set(df.columns)) for name in ("parts.parquet", "dealt.parquet", "single.parquet", "none.parquet") for df in [spark.read.option("mergeSchema", True).parquet(str(d / name))]}
+    assert rows["dealt.parquet"].columns == "id,k"
+    assert "part-9" in rows["broken.parquet"].error and rows["broken.parquet"].n_rows is rows["broken.parquet"].columns is None
+    assert readers.parquet_tables(spark, str(tmp_path)).count() == readers.parquet_tables(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_existing_files(spark, tmp_path):
     (tmp_path / "x.jpg").write_bytes(b"1")
     df = spark.createDataFrame([("1", str(tmp_path / "x.jpg")), ("2", str(tmp_path / "y.jpg")), ("3", None)], "item_id string, p string")
