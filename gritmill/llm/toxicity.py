@@ -14,10 +14,12 @@ windows of four to twelve words drown a word's few bytes in chance matches.
 from __future__ import annotations
 
 import math
+import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +88,9 @@ class ToxicityModel:
         return known
 
     def features(self, text: str | None) -> tuple[float, float, float]:
-        counts = Counter(words_of(text))
+        return self.features_of(Counter(words_of(text)))
+
+    def features_of(self, counts: Counter) -> tuple[float, float, float]:
         known, evidence = self.lengths(counts), self.evidence
         total = top = 0.0
         for w, n in counts.items():
@@ -106,24 +110,37 @@ def _grams(word: bytes) -> list[bytes]:
     return [x[i : i + GRAM] for i in range(len(x) - GRAM + 1)]
 
 
-def _contexts(texts: list[list[bytes]]) -> Counter:
-    """In how many different surroundings each gram stands; copies of a text add none."""
-    return Counter(g for _, w, _ in _places(texts) for g in set(_grams(w)))
+def _places(texts: list[np.ndarray], n: int, at_once: int = 4_000_000) -> np.ndarray:
+    """In how many different surroundings each of n words stands; copies of a text add none."""
+    out, end = np.zeros(n, np.int64), np.array([n], np.uint32)
+    run = np.concatenate([end, *(x for ws in texts for x in (ws, end))])
+    parts = -(-len(run) // at_once)
+    for p in range(parts):
+        at = np.flatnonzero((run[1:-1] != n) & (run[1:-1] % parts == p)) + 1
+        _, pair = np.unique(run[at - 1].astype(np.uint64) * (n + 1) + run[at + 1], return_inverse=True)
+        places = np.unique(pair.astype(np.uint64) * (n + 1) + run[at])
+        out += np.bincount((places % (n + 1)).astype(np.int64), minlength=n)
+    return out
 
 
-def _places(texts: list[list[bytes]]) -> set[tuple[bytes, bytes, bytes]]:
-    return {(ws[i - 1] if i else b"", w, ws[i + 1] if i + 1 < len(ws) else b"") for ws in texts for i, w in enumerate(ws)}
+def _contexts(words: list[bytes], places: np.ndarray) -> Counter:
+    """In how many different surroundings each gram stands."""
+    out: Counter = Counter()
+    for i in np.flatnonzero(places).tolist():
+        n = int(places[i])
+        for g in set(_grams(words[i])):
+            out[g] += n
+    return out
 
 
-def _telling_parts(words: list[list[bytes]], telling: set[bytes]) -> list[bytes]:
-    """The stretches of words that telling grams cover."""
+def _telling_parts(word: bytes, telling: set[bytes]) -> list[bytes]:
+    """The stretches of a word that telling grams cover."""
     out: list[bytes] = []
-    for w in (w for ws in words for w in ws):
-        x, end = b" " + w + b" ", -1
-        for i in range(len(x) - GRAM + 1):
-            if x[i : i + GRAM] in telling:
-                out.append(x[i : i + GRAM]) if i > end else out.__setitem__(-1, out[-1] + x[end : i + GRAM])
-                end = i + GRAM
+    x, end = b" " + word + b" ", -1
+    for i in range(len(x) - GRAM + 1):
+        if x[i : i + GRAM] in telling:
+            out.append(x[i : i + GRAM]) if i > end else out.__setitem__(-1, out[-1] + x[end : i + GRAM])
+            end = i + GRAM
     return out
 
 
@@ -134,40 +151,52 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(x for x, _ in reversed(Counter(samples).most_common(size // 8)))[-size:] or b" "
 
 
-def train(toxic_texts: list[str], ordinary_texts: list[str], toxic_size: int = 8_192, ordinary_size: int = 65_536, least: float = 1.5) -> ToxicityModel:
-    """Dictionaries from one half of the labelled texts, evidence and weights from the other.
+def train(toxic_texts: Iterable[str], ordinary_texts: Iterable[str], **sizes) -> ToxicityModel:
+    """learn() from two sets of texts."""
+    return learn(chain(((t, 1) for t in toxic_texts), ((t, 0) for t in ordinary_texts)), **sizes)
+
 
-    Without texts of both kinds nothing is toxic.
+def learn(labelled: Iterable[tuple[str, int]], toxic_size: int = 8_192, ordinary_size: int = 65_536, least: float = 1.5) -> ToxicityModel:
+    """Dictionaries from one half of the labelled texts (1: toxic, 0: ordinary), evidence and weights from the other.
+
+    Without texts of both kinds nothing is toxic. Texts are read once and kept
+    as numbers of words, 4 bytes each.
     """
-    if len(toxic_texts) < 2 or len(ordinary_texts) < 2:
+    number: dict[bytes, int] = {}
+    texts: tuple[list[np.ndarray], list[np.ndarray]] = [], []
+    for text, k in labelled:
+        texts[k].append(np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.uint32))
+    if min(map(len, texts)) < 2:
         return ToxicityModel(b" ", b" ")
-    words = [[words_of(t) for t in texts] for texts in (toxic_texts, ordinary_texts)]
-    first = [part[::2] for part in words]
-    held = [_contexts(part) for part in first]
+    words = list(number)
+    first, second = ([part[i::2] for part in texts] for i in (0, 1))
+    held = [_contexts(words, _places(part, len(words))) for part in first]
     size = [max(1, sum(h.values())) for h in held]
     # Windows for the toxic dictionary: parts of words with grams that toxic text has far more often.
-    telling = {g for g, n in held[0].items() if n >= 4 and n / size[0] > 20 * (held[1][g] + 0.5) / size[1]}
-    toxic = _dictionary(_telling_parts(first[0], telling), toxic_size)
-    plain = [b" " + b" ".join(ws[i : i + 16]) + b" " for ws in first[1] for i in range(0, len(ws), 16)]
-    ordinary = _dictionary(plain, ordinary_size)
+    telling = {g for g, n in held[1].items() if n >= 4 and n / size[1] > 20 * (held[0][g] + 0.5) / size[0]}
+    parts = {i: _telling_parts(words[i], telling) for i in set(chain.from_iterable(ws.tolist() for ws in first[1]))}
+    toxic = _dictionary([x for ws in first[1] for i in ws.tolist() for x in parts[i]], toxic_size)
+    ordinary = _dictionary([b" " + b" ".join([words[i] for i in ws[at : at + 16].tolist()]) + b" " for ws in first[0] for at in range(0, len(ws), 16)], ordinary_size)
     # Ordinary words that look toxic so far go to the end of the ordinary dictionary, where they are cheapest.
-    lengths = ToxicityModel(toxic, ordinary).lengths
-    often = Counter(w for ws in first[1] for w in set(ws))
-    hard = sorted((w for w, x in lengths(often).items() if x[0] > 0), key=lambda w: (often[w], w))
+    often = np.zeros(len(words), np.int64)
+    for ws in first[0]:
+        often[np.unique(ws)] += 1
+    known = ToxicityModel(toxic, ordinary).lengths(words[i] for i in np.flatnonzero(often).tolist())
+    hard = sorted((w for w, x in known.items() if x[0] > 0), key=lambda w: (often[number[w]], w))
     ordinary = (ordinary + b" ".join(hard) + b" ")[-2 * ordinary_size :]
     model = ToxicityModel(toxic, ordinary)
-    texts = [(t, k) for k, part in ((1, toxic_texts), (0, ordinary_texts)) for t in part[1::2]]
     seen = [Counter(), Counter()]
-    for k, part in ((0, words[1][1::2]), (1, words[0][1::2])):
-        places = Counter(w for _, w, _ in _places(part))
-        known = model.lengths(places)
-        for w, n in places.items():
-            seen[k][known[w]] += n
+    for k, part in enumerate(second):
+        places = _places(part, len(words))
+        at = np.flatnonzero(places).tolist()
+        known = model.lengths(words[i] for i in at)
+        for i in at:
+            seen[k][known[words[i]]] += int(places[i])
     size = [max(1, c.total()) for c in seen]
     tells = {x: math.log((n + 0.5) / size[1]) - math.log((seen[0][x] + 0.5) / size[0]) for x, n in seen[1].items()}
     model.evidence = {x: e for x, e in tells.items() if e >= least and x[0] > 0}
-    features = np.array([model.features(t) for t, _ in texts])
-    model.weights, model.bias = _logistic(features, np.array([float(k) for _, k in texts]))
+    features = np.array([model.features_of(Counter(words[i] for i in ws.tolist())) for k in (1, 0) for ws in second[k]])
+    model.weights, model.bias = _logistic(features, np.array([float(k) for k in (1, 0) for _ in second[k]]))
     return model
 
 
@@ -194,7 +223,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2_000, max_ordinary
     The sample: of each label the first ids by md5 (max_toxic, max_ordinary),
     texts of at most max_bytes bytes; of rows that share an id the text with the
     smallest hash. Ids with several labels count as toxic if one of them says
-    so; null labels do not count.
+    so; null labels do not count. One task gets the sample's texts and trains;
+    the driver gets the model alone.
     """
     labels = pick(labels, doc_id="doc_id", label=label_col).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     labels = labels.groupBy("doc_id").agg(F.max("label").alias("label")).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
@@ -203,9 +233,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2_000, max_ordinary
     chosen = [labels.where(F.col("label") == k).orderBy(order).limit(n) for k, n in ((1, max_toxic), (0, max_ordinary))]
     ids = chosen[0].unionByName(chosen[1])
     rows = docs.where(F.octet_length("text") <= max_bytes).join(F.broadcast(ids), "doc_id")
-    rows = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
-    rows = sorted({(r.doc_id, r.text, r.label) for r in rows}, key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]), r[1]))
-    return train([t for _, t, k in rows if k == 1], [t for _, t, k in rows if k == 0])
+    rows = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    key = F.col("doc_id").cast("string")
+    rows = rows.repartition(1).sortWithinPartitions(F.crc32(key.cast("binary")), key).select("text", F.col("label").cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = learn((t.as_py(), k.as_py()) for batch in batches for t, k in zip(*batch.columns, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    made = rows.mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0].model) if made else train([], [])
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -132,6 +132,37 @@ def test_toxicity_against_plain_scores(spark):
         assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-6
 
 
+def test_toxicity_trains_off_the_driver(spark):
+    import tracemalloc
+
+    d, labels = (common.read(spark, "/root/testdata/sf0.01", name) for name in ("documents", "labels"))
+    rows = d.join(labels, "doc_id").where("text is not null and toxic is not null").select("doc_id", "text", "toxic").collect()
+    rows = sorted((r for r in rows if not toxicity.held_out(r.doc_id)), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), str(r.doc_id)))
+    plain = toxicity.train([t for _, t, k in rows if k == 1], [t for _, t, k in rows if k == 0])
+    size = sum(len(t.encode()) for _, t, _ in rows)
+    tracemalloc.start()
+    model = toxicity.fit(d, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model == plain
+    assert peak < 2 * size, (peak, size)  # 23 times the size with the training on the driver
+
+
+def plain_places(texts):
+    return {(ws[i - 1] if i else b"", w, ws[i + 1] if i + 1 < len(ws) else b"") for ws in texts for i, w in enumerate(ws)}
+
+
+@pytest.mark.parametrize("at_once", [3, 4_000_000])
+def test_surroundings_against_sets(at_once):
+    import numpy as np
+
+    texts = [toxicity.words_of(t) for t in ("a b a b a", "", "b", "a b c a b d a b c", "c", "a b a b a", "d d d")]
+    number = {w: i for i, w in enumerate(sorted({w for ws in texts for w in ws}))}
+    got = toxicity._places([np.array([number[w] for w in ws], np.uint32) for ws in texts], len(number), at_once)
+    want = Counter(w for _, w, _ in plain_places(texts))
+    assert dict(zip(number, got.tolist(), strict=True)) == want
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     d = docs(spark, "a", None)
